@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import chat, decontaminate, mixing, simhash, topk
 
-MODULES = (simhash,)
+MODULES = (topk, mixing, decontaminate, simhash, chat)
 
 
 def queries() -> dict:
