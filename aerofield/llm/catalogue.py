@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, mixing, simhash, topk
+from . import chat, decontaminate, mixing, simhash, token_ids, topk
 
-MODULES = (topk, mixing, decontaminate, simhash, chat)
+MODULES = (topk, mixing, decontaminate, token_ids, simhash, chat)
 
 
 def queries() -> dict:
