@@ -153,9 +153,10 @@ def trained(docs: DataFrame, path: str) -> bytes:
     return zstandard.train_dictionary(min(DICT_BYTES, sum(map(len, pieces)) // 4), pieces).as_bytes()
 
 
-# A file: magic, SHA-256 of the dictionary, number of documents, ids, place of the index; then each
-# document's compressed ids; then the index: doc_id (and whether it has one), offset, number of ids.
-_HEAD = struct.Struct("<8s32sqqq")
+# A file: each document's compressed ids; then the index: doc_id (and whether it has one), offset and
+# number of ids of each; then magic, SHA-256 of the dictionary, number of documents, of ids, place of the index.
+_HEAD = "<8s32sqqq"
+_HEAD_BYTES = struct.calcsize(_HEAD)
 INDEX = np.dtype([("doc_id", "<i8"), ("named", "?"), ("offset", "<i8"), ("ids", "<i8")])
 
 
@@ -187,9 +188,8 @@ def write_files(docs: DataFrame, folder: str, path: str) -> list[tuple[str, int,
         fs, at = _open(folder)
         name = f"part-{TaskContext.get().partitionId():06d}.tok"
         own = f"{at}/.{name}-{uuid.uuid4().hex}"
-        index, total, place = [], 0, _HEAD.size
+        index, total, place = [], 0, 0
         with fs.open_output_stream(own) as f:
-            f.write(bytes(_HEAD.size))
             for keys, flat, n in encoded(batches, path):
                 rows = np.zeros(len(n), INDEX)
                 rows["doc_id"], rows["named"], rows["ids"] = pc.fill_null(keys, 0).to_numpy(), pc.is_valid(keys).to_numpy(zero_copy_only=False), n
@@ -201,8 +201,10 @@ def write_files(docs: DataFrame, folder: str, path: str) -> list[tuple[str, int,
                 total += int(n.sum())
             index = np.concatenate(index) if index else np.zeros(0, INDEX)
             f.write(index.tobytes())
-            f.write(_HEAD.pack(MAGIC, hashlib.sha256(shared.value).digest(), len(index), total, place))
+            f.write(struct.pack(_HEAD, MAGIC, hashlib.sha256(shared.value).digest(), len(index), total, place))
         if len(index):
+            if fs.get_file_info(f"{at}/{name}").type != pafs.FileType.NotFound:
+                fs.delete_file(f"{at}/{name}")
             fs.move(own, f"{at}/{name}")
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(index)]), pa.array([total])], names=["name", "docs", "ids"])
         else:
@@ -221,8 +223,8 @@ class TokenFile:
             dictionary = f.read()
         self.file = fs.open_input_file(f"{at}/{name}")
         size = self.file.size()
-        self.file.seek(size - _HEAD.size)
-        magic, known, docs, self.ids, self.place = _HEAD.unpack(self.file.read(_HEAD.size))
+        self.file.seek(size - _HEAD_BYTES)
+        magic, known, docs, self.ids, self.place = struct.unpack(_HEAD, self.file.read(_HEAD_BYTES))
         if magic != MAGIC or known != hashlib.sha256(dictionary).digest():
             raise ValueError(f"{name} was not written with this dictionary")
         self.file.seek(self.place)
