@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, mixing, simhash, token_ids, topk
+from . import chat, decontaminate, language, mixing, simhash, token_counts, token_ids, topk
 
-MODULES = (topk, mixing, decontaminate, token_ids, simhash, chat)
+MODULES = (topk, token_counts, mixing, decontaminate, token_ids, simhash, language, chat)
 
 
 def queries() -> dict:
