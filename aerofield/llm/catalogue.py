@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, language, mixing, pitman_yor, simhash, token_counts, token_ids, topk
+from . import chat, decontaminate, language, mixing, pitman_yor, simhash, suffix_dedup, token_counts, token_ids, topk
 
-MODULES = (topk, token_counts, pitman_yor, mixing, decontaminate, token_ids, simhash, language, chat)
+MODULES = (topk, token_counts, pitman_yor, mixing, decontaminate, token_ids, simhash, language, chat, suffix_dedup)
 
 
 def queries() -> dict:

@@ -20,12 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import _files
-from ._shared import fresh_dir, table
+from . import _exchange, _files
+from ._exchange import Answers
+from ._shared import table
 from ._text import LOWER, SPACE, mix, prefix_hash, span_hash, text_chunks, words
 
 #: Discounts and strengths of the parent restaurant and of the context restaurants.
@@ -95,7 +95,7 @@ class Questions:
             self.parts.append((int(self.bucket[lo]), part))
 
     def rows(self, block: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in self.parts], pa.int64()), pa.array([block] * len(self.parts), pa.int64()), pa.array([_files.pack(*p) for _, p in self.parts], pa.binary())], names=["bucket", "block", "data"])
+        return _exchange.batch([b for b, _ in self.parts], block, [_files.pack(*p) for _, p in self.parts])
 
 
 def coded(count: np.ndarray) -> np.ndarray:
@@ -216,10 +216,8 @@ def seatings(name: np.ndarray, follow: np.ndarray, c: np.ndarray, parent: np.nda
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
     """Number and content of the blocks of this task's (doc_id, text, held_out)."""
-    from pyspark import TaskContext
-
     held: list[tuple] = []
-    size, number = 0, TaskContext.get().partitionId() << 24
+    size, number = 0, _exchange.first_block()
 
     def out() -> Block:
         keys, train, lens, hashes = zip(*held, strict=True)
@@ -240,40 +238,13 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
         yield number, out()
 
 
-def _answers(rows: DataFrame, folder: str) -> None:
-    """Gather (block, bucket, data) into a file per block."""
-
-    def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by("bucket")
-        parts = [(b, x.as_buffer().to_pybytes()) for b, x in zip(t["bucket"].to_pylist(), t["data"], strict=True)]
-        _files.put(folder, str(t["block"][0].as_py()), _files.pickle.dumps(parts))
-        return pa.table({"block": t["block"][:1]})
-
-    fs, at = _files.opened(folder)
-    fs.create_dir(at)
-    rows.groupBy("block").applyInArrow(run, "block long").count()
-
-
-def _answer(folder: str, block: int) -> list[np.ndarray]:
-    """A block's answers, over all its buckets in order."""
-    parts = [_files.unpack(data) for _, data in _files.pickle.loads(_files.get(folder, str(block)))]
-    return [np.concatenate(x) for x in zip(*parts, strict=True)]
-
-
-def _by_word(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """The order that sorts words by bucket, and each bucket's words."""
-    bucket = (mix(hashes) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    return order, [(int(bucket[x[0]]), x) for x in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(x)]
-
-
-def word_counts(docs: DataFrame, buckets: int, folder: str) -> tuple[np.ndarray, np.ndarray]:
-    """Answer each block's words with their training counts; returns the counts that occur and how many words have each."""
+def word_counts(docs: DataFrame, buckets: int) -> tuple[str, np.ndarray, np.ndarray]:
+    """Answer each block's words with their training counts; the answers' folder, the counts that occur and how many words have each."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, b in blocks(batches):
-            _, parts = _by_word(b.words, buckets)
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int64()), pa.array([number] * len(parts), pa.int64()), pa.array([_files.pack(b.words[x], b.counts[x].astype(np.uint32)) for _, x in parts], pa.binary())], names=["bucket", "block", "data"])
+            _, parts = _exchange.by_bucket(b.words, buckets)
+            yield _exchange.batch([k for k, _ in parts], number, [_files.pack(b.words[x], b.counts[x].astype(np.uint32)) for _, x in parts])
 
     def reply(t: pa.Table) -> pa.Table:
         asked = [_files.unpack(x.as_buffer()) for x in t["data"]]
@@ -284,18 +255,13 @@ def word_counts(docs: DataFrame, buckets: int, folder: str) -> tuple[np.ndarray,
         counts, words_with = np.unique(count[count > 0], return_counts=True)
         return pa.table({"bucket": t["bucket"].to_pylist() + [-1], "block": t["block"].to_pylist() + [-1], "data": pa.array([_files.pack(x) for x in back] + [_files.pack(counts, words_with)], pa.binary())})
 
-    spark = docs.sparkSession
-    replies = docs.mapInArrow(ask, "bucket long, block long, data binary").groupBy("bucket").applyInArrow(reply, "bucket long, block long, data binary")
-    path = fresh_dir(spark, "word-counts")
-    replies.write.parquet(path)
-    replies = spark.read.parquet(path)
-    _answers(replies.where("block >= 0"), folder)
+    rest, folder = _exchange.answered(docs.mapInArrow(ask, _exchange.SCHEMA), reply, "word-counts")
     totals: dict[int, int] = {}
-    for row in replies.where("block < 0").select("data").toLocalIterator():
+    for row in rest.select("data").toLocalIterator():
         for c, n in zip(*_files.unpack(bytes(row[0])), strict=True):
             totals[int(c)] = totals.get(int(c), 0) + int(n)
     counts = np.array(sorted(totals), np.int64)
-    return counts, np.array([totals[c] for c in counts.tolist()], np.int64)
+    return folder, counts, np.array([totals[c] for c in counts.tolist()], np.int64)
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -307,22 +273,22 @@ def score(docs: DataFrame) -> DataFrame:
     Repeated rows are rows of their own; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    buckets = max(64, 2 * docs.rdd.getNumPartitions())
-    first, second = fresh_dir(spark, "words"), fresh_dir(spark, "pairs")
-    counts, n_words = word_counts(docs, buckets, first)
+    buckets = _exchange.buckets_for(docs)
+    first, counts, n_words = word_counts(docs, buckets)
     parent = Parent(counts, n_words)
     model = spark.sparkContext.broadcast(parent)
     total, v = parent.total, parent.vocabulary
 
-    def count_of(number: int, b: Block) -> np.ndarray:
-        order, _ = _by_word(b.words, buckets)
+    def count_of(answers: Answers, number: int, b: Block) -> np.ndarray:
+        order, _ = _exchange.by_bucket(b.words, buckets)
         out = np.zeros(len(b.words), np.int64)
-        out[order] = _answer(first, number)[0]
+        out[order] = answers.joined(number)[0]
         return out
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answers = Answers(first)
         for number, b in blocks(batches):
-            yield b.pairs(count_of(number, b), total, buckets).rows(number)
+            yield b.pairs(count_of(answers, number, b), total, buckets).rows(number)
 
     def reply(t: pa.Table) -> pa.Table:
         asked = [_files.unpack(x.as_buffer()) for x in t["data"]]
@@ -343,25 +309,23 @@ def score(docs: DataFrame) -> DataFrame:
         part = _files.pack(names, customers[hot[head]][i], all_tables[hot[head]][i])
         return pa.table({"bucket": t["bucket"].to_pylist() + [-1], "block": t["block"].to_pylist() + [-1], "data": pa.array([*back, part], pa.binary())})
 
-    path = fresh_dir(spark, "seatings")
-    docs.mapInArrow(ask, "bucket long, block long, data binary").groupBy("bucket").applyInArrow(reply, "bucket long, block long, data binary").write.parquet(path)
-    replies = spark.read.parquet(path)
-    _answers(replies.where("block >= 0"), second)
+    rest, second = _exchange.answered(docs.mapInArrow(ask, _exchange.SCHEMA), reply, "seatings")
     hot: dict[int, np.ndarray] = {}  # at most 1 / HOT contexts and the start
-    for row in replies.where("block < 0").select("data").toLocalIterator():
+    for row in rest.select("data").toLocalIterator():
         for name, *parts in zip(*_files.unpack(bytes(row[0])), strict=True):
             hot[int(name)] = hot.get(int(name), 0) + np.array(parts)
     shared_hot = spark.sparkContext.broadcast(hot)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted, seated = Answers(first), Answers(second)
         for number, b in blocks(batches):
-            count = count_of(number, b)
+            count = count_of(counted, number, b)
             q = b.pairs(count, total, buckets)
             p = model.value.probability(count)[b.token]
             worth = np.zeros(len(q.context))
             customers, tables = np.zeros((2, len(b.words) + 1))
             if len(q.u):
-                w, cu, tu = _answer(second, number)
+                w, cu, tu = seated.joined(number)
                 worth[q.pair[q.pair >= 0]] = w[q.pair >= 0]
                 customers[q.u], tables[q.u] = cu, tu
             for i in np.flatnonzero(q.hot):
