@@ -137,10 +137,13 @@ def identify(bucket: np.ndarray, doc: np.ndarray, docs: int, logp: np.ndarray) -
     return lang, score
 
 
+def _lettered(rows: pa.RecordBatch) -> np.ndarray:
+    return pc.fill_null(pc.match_substring_regex(rows.column("text"), r"\p{L}"), False).to_numpy(zero_copy_only=False)
+
+
 def _judged(rows: pa.RecordBatch, data: np.ndarray, offs: np.ndarray, langs: list[str], logp: np.ndarray) -> tuple[list[str], np.ndarray]:
     lang, score = identify(*grams(data, offs), rows.num_rows, logp)
-    letters = pc.fill_null(pc.match_substring_regex(rows.column("text"), r"\p{L}"), False).to_numpy(zero_copy_only=False)
-    lang[~letters] = -1
+    lang[~_lettered(rows)] = -1
     score[lang < 0] = 0.0
     return [langs[i] if i >= 0 else UNKNOWN for i in lang], score
 
@@ -162,13 +165,20 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame, model: tuple[list[str], np.ndarray], least: float = KEEP_SHARE) -> DataFrame:
-    """``docs`` without texts that have no language, or whose main language has less than ``least`` of them."""
+    """``docs`` without texts that have no language, or whose main language has less than ``least`` of them.
+
+    A model without languages rejects only texts without a letter.
+    """
     langs, shared = model[0], docs.sparkSession.sparkContext.broadcast(model[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offs in text_chunks(batches):
-            lang, score = _judged(rows, data, offs, langs, shared.value)
-            yield rows.filter(pa.array((np.array(lang) != UNKNOWN) & (score >= least)))
+            if langs:
+                lang, score = _judged(rows, data, offs, langs, shared.value)
+                keep = (np.array(lang) != UNKNOWN) & (score >= least)
+            else:
+                keep = _lettered(rows)
+            yield rows.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
 
