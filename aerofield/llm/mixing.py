@@ -48,8 +48,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     by_level = Window.orderBy(full / F.col("weight"), "rank").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     s = s.withColumn("level", (F.sum("source_size").over(everything) * F.lit(float(share)) - F.coalesce(F.sum(full).over(by_level), F.lit(0.0))) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(by_level), F.lit(0.0))))
-    # the first source whose full size is above the level there shares the rest with those after it
-    s = s.withColumn("level", F.min(F.when(F.col("level") * F.col("weight") <= full, F.col("level"))).over(everything))
+    # sources fill up in order; from the first one that its level does not fill, all share that level,
+    # and levels worked out past it are lower
+    s = s.withColumn("level", F.max(F.when(F.col("level") * F.col("weight") <= full, F.col("level"))).over(everything))
     s = s.withColumn("target", F.coalesce(F.least(full, F.col("level") * F.col("weight")), full))
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     return s.withColumn("high", F.sum("target").over(upto)).withColumn("low", F.col("high") - F.col("target")).withColumn("total", F.sum("target").over(everything)).withColumn("block", block_words()).drop("level")
@@ -147,7 +148,7 @@ src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OV
 w AS (SELECT *, CAST([5, 2, 1][rank % 3 + 1] AS DOUBLE) AS weight, 2.0::DOUBLE * source_size AS full_size FROM src),
 lv AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(full_size) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level
   FROM w WINDOW b AS (ORDER BY full_size / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-tg AS (SELECT *, coalesce(least(full_size, weight * min(CASE WHEN level * weight <= full_size THEN level END) OVER ()), full_size) AS target FROM lv),
+tg AS (SELECT *, coalesce(least(full_size, weight * max(CASE WHEN level * weight <= full_size THEN level END) OVER ()), full_size) AS target FROM lv),
 plan AS (SELECT *, sum(target) OVER (ORDER BY rank) AS high, sum(target) OVER (ORDER BY rank) - target AS low, sum(target) OVER () AS total FROM tg),
 blk AS (SELECT *, CAST(greatest(1, least({BLOCK_WORDS}, floor(total / {SLOTS}))) AS BIGINT) AS block FROM plan),
 slots AS (SELECT slot, (slot * {GOLDEN}::DOUBLE - floor(slot * {GOLDEN}::DOUBLE)) * total AS point
