@@ -1,0 +1 @@
+"""Spatial environment analytics on PySpark."""
