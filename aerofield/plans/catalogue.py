@@ -199,7 +199,10 @@ def odd_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("ord", "area_id", F.struct(corner(x, y, 0.0).alias("min"), corner(x + w, y + w, 300.0).alias("max")).alias("bounds"))
 
 
-@query(f"SELECT c_custkey, count(area_id) AS n_hits, coalesce(min(ord), -1) AS first_ord FROM (SELECT DISTINCT c_custkey, CAST(c_custkey * 41 % 4400 AS DOUBLE) AS x, CAST(c_custkey * 29 % 6400 AS DOUBLE) - 6400 AS y, CAST(c_custkey % 400 AS DOUBLE) AS z FROM customer) p LEFT JOIN ({_BOXES}) b ON x >= x0 AND x < x0 + w AND y >= y0 AND y < y0 + w AND z >= 0 AND z < 300 GROUP BY c_custkey")
+_PROBES = "SELECT DISTINCT c_custkey, CAST(c_custkey * 41 % 4400 AS DOUBLE) AS x, CAST(c_custkey * 29 % 6400 AS DOUBLE) - 6400 AS y, CAST(c_custkey % 400 AS DOUBLE) AS z FROM customer"
+
+
+@query(f"SELECT p.c_custkey, coalesce(n, 0) AS n_hits, coalesce(f, -1) AS first_ord FROM ({_PROBES}) p LEFT JOIN (SELECT c_custkey, count(*) AS n, min(ord) AS f FROM ({_PROBES}) JOIN ({_BOXES}) ON x >= x0 AND x < x0 + w AND y >= y0 AND y < y0 + w WHERE z < 300 GROUP BY c_custkey) h ON p.c_custkey = h.c_custkey")
 def range_join_all_hits(spark, sf_dir):
     p = X.table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") * 41 % 4400).cast("double").alias("x"), (F.col("c_custkey") * 29 % 6400 - 6400).cast("double").alias("y"), (F.col("c_custkey") % 400).cast("double").alias("z")).distinct()
     hits = search.area_hits(p, odd_boxes(spark, sf_dir)).groupBy("c_custkey").agg(F.count("*").alias("n_hits"), F.min("ord").alias("first_ord"))
