@@ -36,7 +36,7 @@ BURN_IN, KEPT = 3, 4
 EXACT = 512
 #: A context with more than this part of all training words is spread over tasks.
 HOT = 1 / 1024
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 END, START = np.uint64(1), np.uint64(2)
 FOLD = 5
 
@@ -273,7 +273,7 @@ def score(docs: DataFrame) -> DataFrame:
     Repeated rows are rows of their own; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    buckets = _exchange.buckets_for(docs)
+    buckets = 2 * _exchange.buckets_for(docs)
     first, counts, n_words = word_counts(docs, buckets)
     parent = Parent(counts, n_words)
     model = spark.sparkContext.broadcast(parent)
