@@ -33,7 +33,7 @@ def get(folder: str, name: str) -> bytes:
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as compressed byte planes: the k-th bytes of all entries lie together."""
-    raw = [(a.dtype.str, len(a), np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes()) for a in arrays]
+    raw = [(a.dtype.str, len(a), np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()) for a in arrays]
     return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(raw))
 
 

@@ -167,7 +167,8 @@ def _open(uri: str) -> tuple[pafs.FileSystem, str]:
 def write_files(docs: DataFrame, folder: str, path: str) -> list[tuple[str, int, int]]:
     """Encode ``docs`` into files of ascending doc_id; returns (name, documents, ids) of each, in order.
 
-    Documents are dealt out by ranges of doc_id.  A file appears under its name only when it is
+    Documents are dealt out by ranges of doc_id; those of one id follow each other by a hash of
+    their text, so that no id is bound to one task.  A file appears under its name only when it is
     whole, and a task that runs again writes the same file.
     """
     spark = docs.sparkSession
@@ -179,7 +180,7 @@ def write_files(docs: DataFrame, folder: str, path: str) -> list[tuple[str, int,
     shared = spark.sparkContext.broadcast(dictionary)
     d = docs.select(F.col("doc_id").cast("long"), "text")
     parts = max(1, d.rdd.getNumPartitions())
-    ranged = d.repartitionByRange(parts, F.col("doc_id").asc_nulls_last(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
+    ranged = d.repartitionByRange(parts, F.col("doc_id").asc_nulls_last(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
