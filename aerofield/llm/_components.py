@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import shared_dir
+
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1000003)).first())
@@ -17,6 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     each round keeps no more links than nodes times two and is checkpointed.
     Minima are pre-aggregated, so that a node with many links needs no task of its own.
     """
+    shared_dir(edges.sparkSession)
     both = lambda e: e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
     state = _state(edges)

@@ -9,11 +9,17 @@ import pyarrow.compute as pc
 
 def gather(values: np.ndarray, lens: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Concatenate variable-length entries of ``values`` in the order ``pick``; also their lengths."""
-    ends = np.cumsum(lens)
     n = lens[pick]
-    first = (ends - lens)[pick]
-    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return values[np.repeat(first, n) + at], n
+    # place of each value: a step of one, but for the jump at each entry's start
+    first, ends = (np.cumsum(lens) - lens)[pick], np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    step = np.ones(total, np.int32)
+    some = n > 0
+    first, start, last = first[some], (ends - n)[some], (first + n)[some]
+    if total:
+        step[start] = first - np.concatenate([[0], last[:-1] - 1])
+        np.cumsum(step, out=step)
+    return values[step], n
 
 
 def distinct_chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -36,12 +36,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def removed(spark: SparkSession, path: str) -> None:
-    """Delete a folder that `written` or `fresh_dir` named."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

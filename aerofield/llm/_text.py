@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
+def release() -> None:
+    """Give memory that a worker no longer uses back, so that the next stage's workers have it."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Yield (rows, bytes, offsets) with about ``limit`` bytes of text; null texts are empty."""
     for batch in batches:
@@ -35,6 +44,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at), data[offs[at] : offs[to]], offs[at : to + 1] - offs[at]
             at = to
+    release()
 
 
 def words(data: np.ndarray, offs: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

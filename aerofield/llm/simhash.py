@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ._components import components
 from ._shared import table, written
+from ._text import release
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -44,6 +45,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for b in batches:
             fps = np.fromiter((fingerprint(x.as_py()) for x in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
@@ -174,6 +176,7 @@ def links(fps: DataFrame, budget: int = MAX_BITS, bits: int = 8) -> DataFrame:
                 root = _roots(len(nodes), at_node[: len(i)], at_node[len(i) :])
                 own = root != np.arange(len(nodes))
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[own].view(np.int64)), pa.array(nodes[root[own]].view(np.int64))], names=["u", "v"])
+        release()
 
     return pairs.mapInArrow(run, "u long, v long")
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ._pieces import distinct_chunks
 from ._shared import table
+from ._text import release
 
 MARK = "▁"
 #: What an unknown character costs below the lowest score, as unigram tokenizers have it.
@@ -156,6 +157,7 @@ def counts(docs: DataFrame, path: str | None = None) -> DataFrame:
                 part = batch.slice(at, to - at)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count_texts(part.column(1), path))], names=["doc_id", "n_tokens"])
                 at = to
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long")
 

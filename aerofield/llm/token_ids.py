@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ._pieces import distinct_chunks, gather
 from ._shared import fresh_dir, table
+from ._text import release
 
 #: Documents that train the dictionary: those with the smallest hash of their id, and their leading ids.
 SAMPLE_DOCS, SAMPLE_IDS = 1024, 1024
@@ -29,7 +30,7 @@ MAGIC = b"TOKIDS01"
 #: Distinct words whose ids a worker remembers.
 MEMORY = 300_000
 #: Texts encoded at once, in bytes.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 6 << 20
 
 
 def vocabulary_path() -> str:
@@ -131,8 +132,9 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.A
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_BYTES, "right")))
             flat, n = encoder(path).encode(texts.slice(at, to - at))
-            yield batch.column(0).slice(at, to - at), np.insert(flat, np.cumsum(n), END_ID).astype("<u4"), n + 1
+            yield batch.column(0).slice(at, to - at), np.insert(flat, np.cumsum(n), END_ID).astype("<u4", copy=False), n + 1
             at = to
+    release()
 
 
 def packed(ids: np.ndarray) -> bytes:
