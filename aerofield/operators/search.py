@@ -21,6 +21,19 @@ def natural_cell(areas: DataFrame) -> tuple[float, float]:
     return (r.x or 1.0, r.y or 1.0)
 
 
+def _spread(areas: DataFrame, cell: tuple[float, float] | None) -> tuple[DataFrame, list[int], tuple[float, float]]:
+    """Areas with each bucket (_level, _bx, _by) they overlap, one to four; the levels in use, a few; the finest cell."""
+    cell = cell or natural_cell(areas)
+    leveled = _levels(areas, cell).where("_level is not null")
+    levels = sorted(r[0] for r in leveled.select("_level").distinct().collect())
+    span = lambda k, c: F.explode(F.sequence(_bucket(F.col(f"bounds.min.{c}"), cell[k], F.col("_level")), _bucket(F.col(f"bounds.max.{c}"), cell[k], F.col("_level"))))
+    return leveled.withColumn("_bx", span(0, "x")).withColumn("_by", span(1, "y")), levels, cell
+
+
+def _bucket(x: Column, side: float, level: Column) -> Column:
+    return F.floor(x / (F.lit(side) * F.pow(F.lit(2.0), level)))
+
+
 def area_hits(points: DataFrame, areas: DataFrame, cell: tuple[float, float] | None = None) -> DataFrame:
     """``points`` (with x, y, z) joined with every area (area_id, bounds, ...) whose half-open box holds them.
 
@@ -30,27 +43,38 @@ def area_hits(points: DataFrame, areas: DataFrame, cell: tuple[float, float] | N
     branch, and a point meets an area at most once.  Spark broadcasts the areas if they are
     small and splits crowded buckets if not.  Points with null coordinates match nothing.
     """
-    cell = cell or natural_cell(areas)
-    leveled = _levels(areas, cell).where("_level is not null")
-    levels = sorted(r[0] for r in leveled.select("_level").distinct().collect())  # a few powers of two
+    spread, levels, cell = _spread(areas, cell)
     if not levels:
         return points.join(areas, F.lit(False))
-    step = lambda k, side: F.lit(cell[k]) * F.pow(F.lit(2.0), side)
-    bucket = lambda x, k, side: F.floor(x / step(k, side))
-    span = lambda k, c: F.explode(F.sequence(bucket(F.col(f"bounds.min.{c}"), k, F.col("_level")), bucket(F.col(f"bounds.max.{c}"), k, F.col("_level"))))
-    spread = leveled.withColumn("_bx", span(0, "x")).withColumn("_by", span(1, "y"))
-    probes = points.where("x is not null and y is not null and z is not null").withColumn("_level", F.explode(F.array(*map(F.lit, levels)))) if len(levels) > 1 else points.where("x is not null and y is not null and z is not null").withColumn("_level", F.lit(levels[0]))
-    probes = probes.withColumn("_bx", bucket(F.col("x"), 0, F.col("_level"))).withColumn("_by", bucket(F.col("y"), 1, F.col("_level")))
+    level = F.explode(F.array(*map(F.lit, levels))) if len(levels) > 1 else F.lit(levels[0])
+    probes = points.where("x is not null and y is not null and z is not null").withColumn("_level", level)
+    probes = probes.withColumn("_bx", _bucket(F.col("x"), cell[0], F.col("_level"))).withColumn("_by", _bucket(F.col("y"), cell[1], F.col("_level")))
     at = lambda s: tuple(F.col(f"bounds.{s}.{k}") for k in "xyz")
     found = probes.join(spread, ["_level", "_bx", "_by"]).where(in_box(F.col("x"), F.col("y"), F.col("z"), at("min"), at("max")))
     return found.drop("_level", "_bx", "_by")
 
 
-def primary_area(points: DataFrame, areas: DataFrame, key: list[str], cell: tuple[float, float] | None = None) -> DataFrame:
-    """``points`` with the area_id of the first area (by ord) that holds them, null if none does."""
-    hits = area_hits(points, areas.select("area_id", "ord", "bounds"), cell)
-    first = hits.groupBy(*key).agg(F.min_by("area_id", "ord").alias("area_id"))
-    return points.join(first, key, "left")
+def primary_area(points: DataFrame, areas: DataFrame, cell: tuple[float, float] | None = None) -> DataFrame:
+    """``points`` with the area_id of the first area (by ord) that holds them, null if none does.
+
+    Each bucket becomes one row with its areas in order, and a point picks the first that holds
+    it: one left join per level in use and no grouping, so that points are not shuffled
+    at all while the bucket table is small enough for Spark to broadcast.
+    """
+    spread, levels, cell = _spread(areas.select("area_id", "ord", "bounds"), cell)
+    each = F.array_sort(F.collect_list(F.struct("ord", "area_id", "bounds")))
+    inside = lambda a: in_box(F.col("x"), F.col("y"), F.col("z"), *(tuple(a["bounds"][s][k] for k in "xyz") for s in ("min", "max")))
+    df, picks = points, []
+    for n in levels:
+        buckets = spread.where(F.col("_level") == n).groupBy("_bx", "_by").agg(each.alias(f"_areas{n}"))
+        df = df.withColumn("_bx", _bucket(F.col("x"), cell[0], F.lit(n))).withColumn("_by", _bucket(F.col("y"), cell[1], F.lit(n))).join(buckets, ["_bx", "_by"], "left")
+        first = F.get(F.filter(f"_areas{n}", lambda a: F.coalesce(inside(a), F.lit(False))), F.lit(0))
+        df = df.withColumn(f"_pick{n}", F.struct(first["ord"].alias("ord"), first["area_id"].alias("area_id"))).drop("_bx", "_by", f"_areas{n}")
+        picks.append(f"_pick{n}")
+    if not picks:
+        return points.withColumn("area_id", F.lit(None).cast("string"))
+    best = F.array_min(F.filter(F.array(*picks), lambda p: p["area_id"].isNotNull()))["area_id"]
+    return df.withColumn("area_id", best).drop(*picks)
 
 
 def last_of(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
@@ -63,7 +87,7 @@ def property_of(df: DataFrame, links: DataFrame, properties: DataFrame) -> DataF
     """``df`` (with area_id) with area_property_id and properties; null where link or property is missing."""
     link = last_of(links, "area_id").select("area_id", "area_property_id")
     prop = last_of(properties, "id").select(F.col("id").alias("area_property_id"), "properties")
-    return df.join(link, "area_id", "left").join(prop, "area_property_id", "left")
+    return df.join(link.join(prop, "area_property_id", "left"), "area_id", "left")
 
 
 def visual_areas(areas: DataFrame, links: DataFrame, properties: DataFrame) -> DataFrame:

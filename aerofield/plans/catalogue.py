@@ -164,7 +164,7 @@ def periodic_wind(spark, sf_dir):
 @query(f"SELECT p.event_id, area_id FROM ({X.POINTS}) p LEFT JOIN ({X.CELLS}) c ON x >= xmin AND x < xmax AND y >= ymin AND y < ymax AND z >= 0 AND z < 100")
 def point_to_area(spark, sf_dir):
     areas, _, _ = environment(spark)
-    return search.primary_area(X.points(spark, sf_dir), areas, ["event_id"], X.GRID.cell[:2]).select("event_id", "area_id")
+    return search.primary_area(X.points(spark, sf_dir), areas, X.GRID.cell[:2]).select("event_id", "area_id")
 
 
 _AT = f"{FOLD} SELECT p.event_id, c.*, z FROM ({X.POINTS}) p LEFT JOIN env c ON x >= xmin AND x < xmax AND y >= ymin AND y < ymax AND z >= 0 AND z < 100"
@@ -172,7 +172,7 @@ _AT = f"{FOLD} SELECT p.event_id, c.*, z FROM ({X.POINTS}) p LEFT JOIN env c ON
 
 def at_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     areas, props, links = environment(spark)
-    return search.property_of(search.primary_area(X.points(spark, sf_dir), areas, ["event_id"], X.GRID.cell[:2]), links, props)
+    return search.property_of(search.primary_area(X.points(spark, sf_dir), areas, X.GRID.cell[:2]), links, props)
 
 
 @query(f"SELECT event_id, area_id, {s6('wx')} AS wx, {s6('wy')} AS wy, {s6('gps')} AS gps, CASE WHEN area_id IS NOT NULL THEN 20.0::DOUBLE END AS temperature FROM ({_AT})")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.search import area_hits, disturbance, property_of
+from ..operators.search import disturbance, primary_area, property_of
 
 
 def latest(poses: DataFrame, key: str = "drone", at: str = "ts") -> DataFrame:
@@ -22,10 +22,9 @@ def ticks(poses: DataFrame, width: str, key: str = "drone") -> DataFrame:
     return poses.where("x is not null").groupBy(F.window("ts", width).alias("w"), key).agg(F.max_by(F.struct("ts", "x", "y", "z"), F.col("ts")).alias("p")).select(F.col("w.start").alias("tick"), key, "p.*")
 
 
-def felt(poses: DataFrame, areas: DataFrame, links: DataFrame, properties: DataFrame, key: list[str]) -> DataFrame:
+def felt(poses: DataFrame, areas: DataFrame, links: DataFrame, properties: DataFrame) -> DataFrame:
     """Poses with area_id and disturbance; outside every area, or without a property, all is zero.  For a batch of poses."""
-    hits = area_hits(poses, areas.select("area_id", "ord", "bounds")).groupBy(*key).agg(F.min_by("area_id", "ord").alias("area_id"))
-    df = property_of(poses.join(hits, key, "left"), links, properties)
+    df = property_of(primary_area(poses, areas), links, properties)
     return df.withColumn("disturbance", disturbance(F.col("properties"))).drop("properties", "area_property_id")
 
 
@@ -39,7 +38,7 @@ def run(poses: DataFrame, environment: tuple[DataFrame, DataFrame, DataFrame], s
     areas, properties, links = environment
 
     def step(batch: DataFrame, n: int) -> None:
-        sink(felt(latest(batch), areas, links, properties, ["drone"]), n)
+        sink(felt(latest(batch), areas, links, properties), n)
 
     w = poses.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()

@@ -55,7 +55,7 @@ def test_a_replayed_stream_equals_the_batch(spark, tmp_path):
     seen = []
     q = poses.run(spark.readStream.schema(e.schema).parquet(str(tmp_path / "in")), env, lambda df, n: seen.extend(map(str, df.collect())), str(tmp_path / "checkpoint"))
     q.awaitTermination(120)
-    want = poses.felt(poses.latest(e), env[0], env[2], env[1], ["drone"]).collect()
+    want = poses.felt(poses.latest(e), env[0], env[2], env[1]).collect()
     assert sorted(seen) == sorted(map(str, want)) and len(want) > 10
     assert any(r.area_id is None and r.disturbance.d_temp == 0.0 for r in want) and any(r.disturbance.d_temp > 0 for r in want)
 

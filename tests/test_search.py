@@ -29,7 +29,7 @@ def test_bucket_join_equals_brute_force(spark, seed):
     for cell in (None, (10.0, 10.0)):
         got = sorted((r.id, r.area_id) for r in search.area_hits(df, boxes(spark, b), cell).collect())
         assert got == sorted((i, x[0]) for i, p in enumerate(pts) if None not in p for x in b if inside(p, x))
-    first = {r.id: r.area_id for r in search.primary_area(df, boxes(spark, b), ["id"]).collect()}
+    first = {r.id: r.area_id for r in search.primary_area(df, boxes(spark, b)).collect()}
     assert first == {i: next((x[0] for x in b if None not in p and inside(p, x)), None) for i, p in enumerate(pts)}
 
 
@@ -40,13 +40,13 @@ ROOM = [(f"area_{i + 1}", (-6 + 4 * (i % 3), -6 + 6 * (i // 3), 0), (-2 + 4 * (i
 def test_upper_faces_are_outside(spark):
     pts = [(0, 2.0, 0.0, 5.0), (1, 1.999, 0.0, 5.0), (2, 6.0, 0.0, 5.0), (3, 0.0, 0.0, 20.0), (4, -2.0, -6.0, 0.0)]
     df = spark.createDataFrame(pts, "id long, x double, y double, z double")
-    got = {r.id: r.area_id for r in search.primary_area(df, boxes(spark, ROOM), ["id"]).collect()}
+    got = {r.id: r.area_id for r in search.primary_area(df, boxes(spark, ROOM)).collect()}
     assert got == {0: "area_6", 1: "area_5", 2: None, 3: None, 4: "area_2"}
 
 
 def test_no_areas(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0, 0.0)], "id long, x double, y double, z double")
-    assert [r.area_id for r in search.primary_area(df, boxes(spark, []), ["id"]).collect()] == [None]
+    assert [r.area_id for r in search.primary_area(df, boxes(spark, [])).collect()] == [None]
 
 
 def tables(spark):
