@@ -6,6 +6,7 @@ whenever the same input is read again.  Answers come back as one file per partit
 
 from __future__ import annotations
 
+import gc
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -47,6 +48,9 @@ def answered(questions: DataFrame, reply: Callable[[pa.Table], pa.Table], name:
     questions.groupBy("bucket").applyInArrow(reply, SCHEMA).write.parquet(path)
     replies = spark.read.schema(SCHEMA).parquet(path)
     deliver(replies.where("block >= 0"), folder)
+    # Spark drops the shuffle files of finished jobs when the driver collects its garbage
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return replies.where("block < 0"), folder
 
 

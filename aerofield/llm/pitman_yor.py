@@ -36,7 +36,7 @@ BURN_IN, KEPT = 3, 4
 EXACT = 512
 #: A context with more than this part of all training words is spread over tasks.
 HOT = 1 / 1024
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 END, START = np.uint64(1), np.uint64(2)
 FOLD = 5
 
