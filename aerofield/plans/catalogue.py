@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import frames, geometry, wind
-from ..operators import city, creator, drawing, mission, search, tree
+from ..operators import city, creator, drawing, editor, mission, search, tree
 from ..sources import readers
 from ..streaming import poses
 from . import fixtures as X
@@ -565,5 +565,19 @@ def property_violations(spark, sf_dir):
     return readers.violations(p, "id", readers.property_checks())
 
 
+_CLICK = "CASE " + " ".join(f"WHEN {_sql_contains(z, 'x', 'y')} THEN '{z['name']}'" for z in reversed(X.ZONES)) + " END"
+
+
+@query(f"SELECT event_id, {_CLICK} AS zone FROM ({X.POINTS})")
+def zone_clicks(spark, sf_dir):
+    return X.points(spark, sf_dir).select("event_id", editor.clicked(F.col("x"), F.col("y"), X.ZONES).alias("zone"))
+
+
+@query(f"SELECT id, floor(min(x / 7) * 10 + 0.5) / 10 AS xmin, floor(min(y / 7) * 10 + 0.5) / 10 AS ymin, floor(max(x / 7) * 10 + 0.5) / 10 AS xmax, floor(max(y / 7) * 10 + 0.5) / 10 AS ymax FROM ({X.RING_POINTS}) GROUP BY id")
+def corner_boxes(spark, sf_dir):
+    ring = F.transform("vertices", lambda v: F.struct((v["x"] / 7).alias("x"), (v["y"] / 7).alias("y")))
+    return X.rings(spark, sf_dir).select("id", editor.corner_box(ring).alias("b")).select("id", "b.*")
+
+
 #: The query that answers "what is it like there?" for every event.
 flagship = point_to_property

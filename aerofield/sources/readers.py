@@ -113,7 +113,7 @@ def gml_paths(spark: SparkSession, folder: str, pattern: str = "*.gml") -> DataF
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder).select("path").orderBy("path")
 
 
-def buildings(spark: SparkSession, path: str) -> DataFrame:
+def buildings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(id, pos_lists, source_gml) of the buildings of city files that have level-1 rings, at any depth inside.
 
     One row per building element is split off by Spark's XML source rules, which keep to
