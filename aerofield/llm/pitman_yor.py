@@ -85,11 +85,13 @@ class Questions:
         w = w[order]
         self.cuts = np.concatenate([[0], np.flatnonzero(np.diff(self.bucket)) + 1, [len(w)]]) if len(w) else np.zeros(1, np.int64)
         self.parts = []
+        #: where a bucket's questions about a context begin
+        self.heads = np.flatnonzero(np.concatenate([[True], (np.diff(self.u) != 0) | (np.diff(self.bucket) != 0)])) if len(w) else np.zeros(0, np.int64)
         follow = follow[order]
         many = np.where(w >= 0, train[self.pair], 0).astype(np.uint32)
         parent = np.where(w >= 0, coded(count[w]), 0).astype(np.uint8)
         for lo, hi in zip(self.cuts[:-1], self.cuts[1:], strict=True):
-            heads = np.flatnonzero(np.concatenate([[True], np.diff(self.u[lo:hi]) != 0]))
+            heads = self.heads[np.searchsorted(self.heads, lo) : np.searchsorted(self.heads, hi)] - lo
             six = follow[lo:hi].view(np.uint8).reshape(-1, 8)[:, :6]
             part = (names[self.u[lo:hi][heads]], np.diff(np.append(heads, hi - lo)).astype(np.uint32), hot[self.u[lo:hi][heads]].astype(np.uint8), *six.T, parent[lo:hi], many[lo:hi])
             self.parts.append((int(self.bucket[lo]), part))
@@ -301,9 +303,11 @@ def score(docs: DataFrame) -> DataFrame:
         c = np.bincount(at, n).astype(np.int64)
         tables, customers, all_tables = seatings(name[head], follow[head], c, np.maximum(model.value.probability(decoded(code[head])), 1e-300), hot[head])
         worth = np.where(c > 0, c - DISCOUNT * tables, 0.0).astype(np.float32)[at]
-        full = np.column_stack([customers, all_tables]).astype(np.float32)[at]
+        full = np.column_stack([customers, all_tables]).astype(np.float32)
         ends = np.cumsum([len(p[9]) for p in asked])
-        back = [_files.pack(w, f[:, 0], f[:, 1]) for w, f in zip(np.split(worth, ends[:-1]), np.split(full, ends[:-1]), strict=True)]
+        # a value for each pair, and two for each context
+        firsts = [full[x[np.cumsum(p[1]) - p[1]]] for x, p in zip(np.split(at, ends[:-1]), asked, strict=True)]
+        back = [_files.pack(w, f[:, 0].copy(), f[:, 1].copy()) for w, f in zip(np.split(worth, ends[:-1]), firsts, strict=True)]
         # parts of hot contexts, to be added up
         names, i = np.unique(name[head][hot[head]], return_index=True)
         part = _files.pack(names, customers[hot[head]][i], all_tables[hot[head]][i])
@@ -327,7 +331,7 @@ def score(docs: DataFrame) -> DataFrame:
             if len(q.u):
                 w, cu, tu = seated.joined(number)
                 worth[q.pair[q.pair >= 0]] = w[q.pair >= 0]
-                customers[q.u], tables[q.u] = cu, tu
+                customers[q.u[q.heads]], tables[q.u[q.heads]] = cu, tu
             for i in np.flatnonzero(q.hot):
                 customers[i], tables[i] = shared_hot.value.get(int(b.words[i] if i < len(b.words) else START), (0.0, 0.0))
             cu, tu = customers[b.before], tables[b.before]
