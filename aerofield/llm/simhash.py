@@ -21,7 +21,7 @@ MAX_BITS = 3
 #: Fingerprints of one subtrie that travel together.
 CHUNK = 4096
 #: Node pairs expanded at once.
-FRONTIER = 1 << 19
+FRONTIER = 1 << 17
 
 
 def fingerprint(text: str | None, size: int = SHINGLE_WORDS) -> int:

@@ -30,7 +30,7 @@ MAGIC = b"TOKIDS01"
 #: Distinct words whose ids a worker remembers.
 MEMORY = 300_000
 #: Texts encoded at once, in bytes.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 4 << 20
 
 
 def vocabulary_path() -> str:
