@@ -11,7 +11,9 @@ Documents are read in blocks.  A block asks for the training counts of its disti
 then for the seatings of its distinct word pairs; each question goes, packed, to the task
 that has all blocks' questions about the same word or context, and the answers come back as a
 file per block in the shared folder.  A context that holds a large part of all words is
-spread over tasks by its followers.
+spread over tasks by its followers.  Each of those tells how many tables its words would have
+for any number of tables of the whole context; the sum over tasks gives that number, and the
+words' tables are their expected ones, given it.
 """
 
 from __future__ import annotations
@@ -82,7 +84,7 @@ class Questions:
         self.bucket = (key % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((u, self.bucket))
         self.pair, self.bucket, self.u = self.pair[order], self.bucket[order], u[order]
-        w = w[order]
+        self.w = w = w[order]
         self.cuts = np.concatenate([[0], np.flatnonzero(np.diff(self.bucket)) + 1, [len(w)]]) if len(w) else np.zeros(1, np.int64)
         self.parts = []
         #: where a bucket's questions about a context begin
@@ -155,6 +157,64 @@ def draw_tables(c: np.ndarray, parent: np.ndarray, others: np.ndarray, u: np.nda
     return np.minimum(out, np.maximum(c, 1))
 
 
+def mean_tables(c: np.ndarray, parent: np.ndarray, others: np.ndarray, discount: float, strength: float) -> np.ndarray:
+    """The expectation of `draw_tables`."""
+    out = np.minimum(c, 1).astype(float)
+    logs = stirling(discount)
+    many = np.minimum(c, EXACT)
+    for n in np.unique(many[many > 1]):
+        at = np.flatnonzero(many == n)
+        t = np.arange(1, n + 1)
+        rows = max(1, (1 << 18) // int(n))
+        for some in (at[lo : lo + rows] for lo in range(0, len(at), rows)):
+            p = np.cumsum(np.log(strength + discount * (others[some, None] + t - 1)) + np.log(parent[some, None]), axis=1) + logs[n, 1 : n + 1]
+            p = np.exp(p - p.max(axis=1, keepdims=True))
+            out[some] = p @ t / p.sum(axis=1)
+    rest = np.flatnonzero(c > EXACT)
+    n, goal = np.full(len(rest), float(EXACT)), c[rest].astype(float)
+    while (n < goal).any():
+        more = np.minimum(goal - n, np.ceil(n / 10))
+        new = (strength + discount * (others[rest] + out[rest])) * parent[rest]
+        out[rest] += more * new / (new + n - discount * out[rest])
+        n += more
+    return np.minimum(out, c)
+
+
+def settled(c: np.ndarray, parent: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    """Expected tables of words with c customers in contexts with so many tables in all, their own among them."""
+    own = np.minimum(c, 1).astype(float)
+    for _ in range(3):
+        own = mean_tables(c, parent, np.maximum(tables - own, 0), DISCOUNT, STRENGTH)
+    return own
+
+
+def levels(total: int) -> np.ndarray:
+    """Numbers of tables, from one to as many as there are words, for which parts of a hot context answer."""
+    return 2.0 ** (np.arange(2 * int(total).bit_length() + 1) / 2)
+
+
+def responses(context: np.ndarray, c: np.ndarray, parent: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Per context and level: the tables of its words here, if the whole context had that many tables."""
+    out = np.repeat(np.bincount(context, c == 1)[:, None], len(level), axis=1)
+    many = np.flatnonzero(c > 1)
+    _, one, of = np.unique(mix(c[many].astype(np.uint64) ^ mix(parent[many].view(np.uint64))), return_index=True, return_inverse=True)
+    n, one = len(one), many[one]
+    own = settled(np.repeat(c[one], len(level)), np.repeat(parent[one], len(level)), np.tile(level, n)).reshape(n, len(level))
+    for i in range(len(level)):
+        out[:, i] += np.bincount(context[many], own[of, i], minlength=len(out))
+    return out
+
+
+def all_tables(response: np.ndarray, level: np.ndarray) -> float:
+    """The number of tables at which a whole context's words have that number."""
+    if not response[0] > 0:
+        return 0.0
+    over = np.log(response / level)
+    i = min(int(np.flatnonzero(over >= 0).max(initial=0)), len(level) - 2)
+    part = over[i] / (over[i] - over[i + 1]) if over[i] != over[i + 1] else 0.0
+    return float(level[i] * (level[i + 1] / level[i]) ** min(max(part, 0.0), 1.0))
+
+
 class Parent:
     """The restaurant of all words, from how many words have each count (which is all it depends on)."""
 
@@ -198,13 +258,13 @@ def seatings(name: np.ndarray, follow: np.ndarray, c: np.ndarray, parent: np.nda
     """(mean tables of each pair, customers and mean tables of each pair's context).
 
     Pairs are distinct (context, word) with c training customers.  A hot context has but part of its
-    words here; its other tables are estimated from that part's.
+    words here, so nothing is drawn for them: they sit at one table each until `settled`.
     """
     _, context = np.unique(name, return_inverse=True)
     customers = np.bincount(context, c)
     t = (c > 0).astype(float)
     kept, key = np.zeros(len(c)), mix(name * np.uint64(31) + follow)
-    some = np.flatnonzero(c > 1)
+    some = np.flatnonzero((c > 1) & ~hot)
     for sweep in range(BURN_IN + KEPT):
         if len(some):
             others = np.bincount(context, t)[context[some]] - t[some]
@@ -280,6 +340,7 @@ def score(docs: DataFrame) -> DataFrame:
     parent = Parent(counts, n_words)
     model = spark.sparkContext.broadcast(parent)
     total, v = parent.total, parent.vocabulary
+    level = levels(total)
 
     def count_of(answers: Answers, number: int, b: Block) -> np.ndarray:
         order, _ = _exchange.by_bucket(b.words, buckets)
@@ -292,6 +353,9 @@ def score(docs: DataFrame) -> DataFrame:
         for number, b in blocks(batches):
             yield b.pairs(count_of(answers, number, b), total, buckets).rows(number)
 
+    def seating_parent(code: np.ndarray) -> np.ndarray:
+        return np.maximum(model.value.probability(decoded(code)), 1e-300)
+
     def reply(t: pa.Table) -> pa.Table:
         asked = [_files.unpack(x.as_buffer()) for x in t["data"]]
         name = np.concatenate([np.repeat(p[0], p[1]) for p in asked])
@@ -301,24 +365,26 @@ def score(docs: DataFrame) -> DataFrame:
         code, n = np.concatenate([p[9] for p in asked]), np.concatenate([p[10] for p in asked])
         _, head, at = np.unique(mix(name * np.uint64(31) + follow), return_index=True, return_inverse=True)
         c = np.bincount(at, n).astype(np.int64)
-        tables, customers, all_tables = seatings(name[head], follow[head], c, np.maximum(model.value.probability(decoded(code[head])), 1e-300), hot[head])
-        worth = np.where(c > 0, c - DISCOUNT * tables, 0.0).astype(np.float32)[at]
-        full = np.column_stack([customers, all_tables]).astype(np.float32)
+        name, hot, p = name[head], hot[head], seating_parent(code[head])
+        tables, customers, whole = seatings(name, follow[head], c, p, hot)
+        # of a hot context's words, their customers: their tables follow from those of all parts
+        worth = np.where(c > 0, np.where(hot, c, c - DISCOUNT * tables), 0.0).astype(np.float32)[at]
+        full = np.column_stack([customers, whole]).astype(np.float32)
         ends = np.cumsum([len(p[9]) for p in asked])
         # a value for each pair, and two for each context
         firsts = [full[x[np.cumsum(p[1]) - p[1]]] for x, p in zip(np.split(at, ends[:-1]), asked, strict=True)]
         back = [_files.pack(w, f[:, 0].copy(), f[:, 1].copy()) for w, f in zip(np.split(worth, ends[:-1]), firsts, strict=True)]
         # parts of hot contexts, to be added up
-        names, i = np.unique(name[head][hot[head]], return_index=True)
-        part = _files.pack(names, customers[hot[head]][i], all_tables[hot[head]][i])
+        names, i, context = np.unique(name[hot], return_index=True, return_inverse=True)
+        part = _files.pack(names, customers[hot][i], *responses(context, c[hot], p[hot], level).T.astype(np.float32))
         return pa.table({"bucket": t["bucket"].to_pylist() + [-1], "block": t["block"].to_pylist() + [-1], "data": pa.array([*back, part], pa.binary())})
 
     rest, second = _exchange.answered(docs.mapInArrow(ask, _exchange.SCHEMA), reply, "seatings")
     hot: dict[int, np.ndarray] = {}  # at most 1 / HOT contexts and the start
     for row in rest.select("data").toLocalIterator():
         for name, *parts in zip(*_files.unpack(bytes(row[0])), strict=True):
-            hot[int(name)] = hot.get(int(name), 0) + np.array(parts)
-    shared_hot = spark.sparkContext.broadcast(hot)
+            hot[int(name)] = hot.get(int(name), 0) + np.array(parts, float)
+    shared_hot = spark.sparkContext.broadcast({name: (x[0], all_tables(x[1:], level)) for name, x in hot.items()})
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted, seated = Answers(first), Answers(second)
@@ -330,10 +396,15 @@ def score(docs: DataFrame) -> DataFrame:
             customers, tables = np.zeros((2, len(b.words) + 1))
             if len(q.u):
                 w, cu, tu = seated.joined(number)
-                worth[q.pair[q.pair >= 0]] = w[q.pair >= 0]
                 customers[q.u[q.heads]], tables[q.u[q.heads]] = cu, tu
             for i in np.flatnonzero(q.hot):
                 customers[i], tables[i] = shared_hot.value.get(int(b.words[i] if i < len(b.words) else START), (0.0, 0.0))
+            if len(q.u):
+                at = np.flatnonzero(q.hot[q.u] & (w > 0))
+                c, code = w[at].astype(np.int64), coded(count[q.w[at]])
+                _, one, of = np.unique(mix(mix(q.u[at].astype(np.uint64) << np.uint64(16) | code) + c.astype(np.uint64)), return_index=True, return_inverse=True)
+                w[at] = c - DISCOUNT * settled(c[one], seating_parent(code[one]), tables[q.u[at[one]]])[of]
+                worth[q.pair[q.pair >= 0]] = w[q.pair >= 0]
             cu, tu = customers[b.before], tables[b.before]
             full = np.where(cu > 0, (worth[q.of_token] + (STRENGTH + DISCOUNT * tu) * p) / (STRENGTH + cu), p)
             add = lambda x: np.bincount(b.doc, x, minlength=len(b.lens))

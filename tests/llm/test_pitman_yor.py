@@ -73,3 +73,45 @@ def test_edge_rows(spark, docs_of):
     alone = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1][0]
     (r,) = scored(docs_of([], [(alone, "only held out", None, None, None)]))
     assert (r.n_known, r.train_tokens, r.score) == (0, 0, 0.0) and r.held_out
+
+
+def test_hot_contexts_have_their_whole_tables(spark, docs_of, monkeypatch):
+    """Every word here is hot, its followers spread over all buckets; against one long unsplit Gibbs run."""
+    monkeypatch.setattr(P, "BURN_IN", 30)
+    monkeypatch.setattr(P, "KEPT", 40)
+    rng = np.random.default_rng(4)
+    word = lambda n: rng.zipf(1.3, n) % 300
+    texts = [" ".join(f"w{x}" for x in np.where(rng.random(400) < 0.3, 0, word(400))) for _ in range(60)]
+    tokens = [[*t.encode().split(), None] for t in texts]
+    train = [t for i, t in enumerate(tokens) if zlib.crc32(str(i).encode()) % 5 != 1]
+    count = Counter(w for t in train for w in t)
+    parent = P.Parent(*(np.array(x) for x in zip(*sorted(Counter(count.values()).items()), strict=True)))
+    p = lambda w: parent.probability(np.array([count[w]]))[0]
+    pairs = Counter(x for t in train for x in zip(["start", *t], t, strict=False))
+    number = {w: i for i, w in enumerate(["start", *count])}
+    u, w = (np.array([number[x[k]] for x in pairs], np.uint64) for k in (0, 1))
+    c = np.array(list(pairs.values()))
+    tables, customers, whole = P.seatings(u, w, c, np.array([p(x[1]) for x in pairs]), np.zeros(len(c), bool))
+    worth = dict(zip(pairs, c - P.DISCOUNT * tables, strict=True))
+    full = {number_: (cu, tu) for number_, cu, tu in zip(u.tolist(), customers, whole, strict=True)}
+
+    def one(a, b):
+        cu, tu = full.get(number.get(a), (0, 0))
+        return (worth.get((a, b), 0) + (P.STRENGTH + P.DISCOUNT * tu) * p(b)) / (P.STRENGTH + cu) if cu else p(b)
+
+    got = {r.doc_id: r.score for r in scored(docs_of(texts))}
+    off = [got[i] - sum(math.log10(one(a, b)) for a, b in zip(["start", *t], t, strict=False)) for i, t in enumerate(tokens)]
+    assert np.abs(off).mean() / 401 < 3e-3
+
+
+def test_parts_of_a_context_add_up_to_the_unsplit_one(monkeypatch):
+    monkeypatch.setattr(P, "BURN_IN", 60)
+    rng = np.random.default_rng(3)
+    c = np.minimum(rng.zipf(1.5, 4000), 20000)
+    p = np.maximum(c / c.sum() * rng.uniform(0.2, 2, len(c)), 1e-7)
+    name, level = np.full(len(c), 5, np.uint64), P.levels(c.sum())
+    tables, _, whole = P.seatings(name, np.arange(len(c)).astype(np.uint64), c, p, np.zeros(len(c), bool))
+    part = np.arange(len(c)) % 128
+    got = P.all_tables(sum(P.responses(np.zeros((part == k).sum(), int), c[part == k], p[part == k], level)[0] for k in range(128)), level)
+    assert got == pytest.approx(whole[0], rel=0.02)
+    assert P.settled(c, p, np.full(len(c), got)).sum() == pytest.approx(got, rel=0.01)
