@@ -91,7 +91,7 @@ class Questions:
         self.heads = np.flatnonzero(np.concatenate([[True], (np.diff(self.u) != 0) | (np.diff(self.bucket) != 0)])) if len(w) else np.zeros(0, np.int64)
         follow = follow[order]
         many = np.where(w >= 0, train[self.pair], 0).astype(np.uint32)
-        parent = np.where(w >= 0, coded(count[w]), 0).astype(np.uint8)
+        parent = np.where(w >= 0, coded(count[w]), 0).astype(np.uint16)
         for lo, hi in zip(self.cuts[:-1], self.cuts[1:], strict=True):
             heads = self.heads[np.searchsorted(self.heads, lo) : np.searchsorted(self.heads, hi)] - lo
             six = follow[lo:hi].view(np.uint8).reshape(-1, 8)[:, :6]
@@ -103,8 +103,8 @@ class Questions:
 
 
 def coded(count: np.ndarray) -> np.ndarray:
-    """A training count in one byte: exact below 128, then in steps of an eighth of a power of two."""
-    return np.where(count < 128, count, np.minimum(255, 128 + np.rint(8 * np.log2(np.maximum(count, 128) / 128)))).astype(np.uint8)
+    """A training count in two bytes, of which packing takes the mostly empty one away: exact below 128, then in steps of an eighth of a power of two."""
+    return np.where(count < 128, count, 128 + np.rint(8 * np.log2(np.maximum(count, 128) / 128))).astype(np.uint16)
 
 
 def decoded(code: np.ndarray) -> np.ndarray:

@@ -115,3 +115,8 @@ def test_parts_of_a_context_add_up_to_the_unsplit_one(monkeypatch):
     got = P.all_tables(sum(P.responses(np.zeros((part == k).sum(), int), c[part == k], p[part == k], level)[0] for k in range(128)), level)
     assert got == pytest.approx(whole[0], rel=0.02)
     assert P.settled(c, p, np.full(len(c), got)).sum() == pytest.approx(got, rel=0.01)
+
+
+def test_no_count_reaches_the_end_of_the_code():
+    count = np.array([0, 1, 127, 128, 7_700_000, 300_000_000, 10**13])
+    assert P.decoded(P.coded(count)) == pytest.approx(count, rel=0.05)
