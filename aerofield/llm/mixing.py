@@ -1,4 +1,4 @@
-"""Mixing sources to target weights with a low-discrepancy schedule of equal-token blocks."""
+"""Mixing sources to target weights with a low-discrepancy schedule of blocks, equal within a source."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ CAP = 2
 #: Words of a block at most; a mix of fewer than `SLOTS` such blocks has smaller blocks.
 BLOCK_WORDS = 4096
 SLOTS = 65536
+#: A source has smaller blocks where its target, or its words, would not make so many.
+SOURCE_BLOCKS = 512
 #: Schedule slots and documents are numbered in two steps: within chunks, then over chunks.
 CHUNK_SLOTS = 4096
 #: Leading hexadecimal digits of a document's shuffle key that form its chunk.
@@ -33,7 +35,10 @@ def _key() -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
-    """One row per source: its weight, source_size, target and the cumulative targets.
+    """One row per source: its weight, source_size, target, block and part of the schedule.
+
+    A source's blocks have ``block`` words.  Its part, from low to high of total, is its target, or
+    more in proportion where its blocks are smaller than ``slot``, the words of the largest blocks.
 
     Sources in code-point order (null last) weigh ``weights``, repeating.  They share
     ``share`` times all words by weight; a target stops at ``cap`` times its source's
@@ -53,36 +58,38 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     s = s.withColumn("level", F.max(F.when(F.col("level") * F.col("weight") <= full, F.col("level"))).over(everything))
     s = s.withColumn("target", F.coalesce(F.least(full, F.col("level") * F.col("weight")), full))
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    return s.withColumn("high", F.sum("target").over(upto)).withColumn("low", F.col("high") - F.col("target")).withColumn("total", F.sum("target").over(everything)).withColumn("block", block_words()).drop("level")
+    s = s.withColumn("slot", block_words(F.sum("target").over(everything)))
+    s = s.withColumn("block", F.greatest(F.lit(1), F.least("slot", F.floor(F.least("target", "source_size") / SOURCE_BLOCKS))).cast("bigint"))
+    s = s.withColumn("part", F.col("target") * (F.col("slot") / F.col("block")))
+    return s.withColumn("high", F.sum("part").over(upto)).withColumn("low", F.col("high") - F.col("part")).withColumn("total", F.sum("part").over(everything)).drop("level", "part")
 
 
-def block_words() -> Column:
-    return F.greatest(F.lit(1), F.least(F.lit(BLOCK_WORDS), F.floor(F.col("total") / SLOTS))).cast("bigint")
+def block_words(total: Column) -> Column:
+    return F.greatest(F.lit(1), F.least(F.lit(BLOCK_WORDS), F.floor(total / SLOTS))).cast("bigint")
 
 
 def schedule(plan: DataFrame) -> DataFrame:
     """(slot, skey, rank, epoch, block): which block of which source each slot of the mix takes.
 
     Slot i has the golden-ratio point frac(i * 0.618...) and goes to the source in whose part
-    of the cumulative targets the point falls.  Slots are ranked per source; rank r takes
+    of the schedule the point falls.  Slots are ranked per source; rank r takes
     block r mod n of the source's n blocks, in epoch r div n.  Ranks past the last
     allowed epoch take nothing.
     """
     spark = plan.sparkSession
-    head = plan.agg(F.first("total").alias("total"), F.first("block").alias("block")).first()
-    slots = -(-int(head.total or 0) // (head.block or 1))
+    head = plan.agg(F.first("total").alias("total"), F.first("slot").alias("slot")).first()
+    slots = -(-int(head.total or 0) // (head.slot or 1))
     at = F.col("slot") * F.lit(GOLDEN)
     points = spark.range(slots).withColumnRenamed("id", "slot").withColumn("point", (at - F.floor(at)) * F.lit(float(head.total or 0)))
     cell = lambda x: F.floor(x * CELLS / F.lit(float(head.total or 1)))
-    parts = plan.where("target > 0").select("skey", "low", "high", "source_size", F.explode(F.sequence(cell(F.col("low")) - 1, cell(F.col("high")) + 1)).alias("cell"))
+    parts = plan.where("target > 0").select("skey", "low", "high", F.ceil(F.col("source_size") / F.col("block")).cast("bigint").alias("blocks"), F.explode(F.sequence(cell(F.col("low")) - 1, cell(F.col("high")) + 1)).alias("cell"))
     dealt = points.withColumn("cell", cell(F.col("point"))).join(F.broadcast(parts) if plan.count() < 1000 else parts, "cell").where("point >= low and point < high")
-    dealt = dealt.select("slot", "skey", "source_size", F.expr(f"slot div {CHUNK_SLOTS}").alias("chunk"))
+    dealt = dealt.select("slot", "skey", "blocks", F.expr(f"slot div {CHUNK_SLOTS}").alias("chunk"))
     chunks = dealt.groupBy("skey", "chunk").count()
     before = Window.partitionBy("skey").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.select("skey", "chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     ranked = dealt.withColumn("nth", F.row_number().over(Window.partitionBy("skey", "chunk").orderBy("slot")) - 1).join(chunks, ["skey", "chunk"])
-    blocks = F.expr(f"cast(ceil(source_size / {head.block or 1}) as bigint)")
-    ranked = ranked.select("slot", "skey", (F.col("nth") + F.col("before")).alias("rank"), blocks.alias("blocks"))
+    ranked = ranked.select("slot", "skey", (F.col("nth") + F.col("before")).alias("rank"), "blocks")
     return ranked.where(f"rank < {CAP} * blocks").selectExpr("slot", "skey", "rank", "rank div blocks as epoch", "rank % blocks as block")
 
 
@@ -110,12 +117,12 @@ def taken(docs: DataFrame) -> DataFrame:
     plan = written(targets(sized), "targets")
     if not plan.count():
         return sized.select("doc_id", "size", F.col("size").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("taken"))
-    block = int(plan.first().block)
     d = placed(sized.withColumn("row", F.xxhash64(F.monotonically_increasing_id())), ["doc_id", "row"])
     d = written(d, "placed")
     times = schedule(plan).groupBy("skey", "block").agg(F.count("*").alias("times"))
-    parts = d.where("size > 0").select("row", "skey", "start", (F.col("start") + F.col("size")).alias("end"), F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("block"))
-    got = parts.join(times, ["skey", "block"]).groupBy("row").agg(F.sum(F.expr(f"times * (least(end, (block + 1) * {block}) - greatest(start, block * {block}))")).alias("taken"))
+    words = plan.select("skey", F.col("block").alias("words"))
+    parts = d.where("size > 0").join(words, "skey").select("row", "skey", "words", "start", (F.col("start") + F.col("size")).alias("end"), F.explode(F.expr("sequence(start div words, (start + size - 1) div words)")).alias("block"))
+    got = parts.join(times, ["skey", "block"]).groupBy("row").agg(F.sum(F.expr("times * (least(end, (block + 1) * words) - greatest(start, block * words))")).alias("taken"))
     return d.join(got, "row", "left").join(plan.select("skey", "source_size", "target"), "skey").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
@@ -129,8 +136,8 @@ def mix(docs: DataFrame) -> DataFrame:
     plan = written(targets(one.select("source", "size", "skey")), "targets")
     if not plan.count():
         return docs
-    block = int(plan.first().block)
-    ends = schedule(plan).groupBy("skey", "epoch").agg((F.count("*") * block).alias("stop"))
+    words = plan.select("skey", F.col("block").alias("words"))
+    ends = schedule(plan).groupBy("skey", "epoch").count().join(words, "skey").select("skey", (F.col("count") * F.col("words")).alias("stop"))
     ends = ends.groupBy("skey").agg(F.collect_list("stop").alias("stops"))  # at most CAP epochs
     rows = placed(one, ["row"]).join(ends, "skey").select("row", "size", F.explode(F.expr("transform(stops, s -> least(size, s - start))")).alias("kept")).where("kept > 0")
     part = F.expr(r"case when kept = size then row.text else array_join(slice(regexp_extract_all(row.text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0), 1, cast(kept as int)), '') end")

@@ -72,3 +72,31 @@ def test_edge_rows(spark):
     assert {r.target for r in got if r.source_size} == {9.0}
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.taken(empty).count() == 0 and mixing.mix(empty).count() == 0
+
+
+def test_small_sources_beside_huge_ones(spark):
+    """Words by the schedule alone; blocks of the huge sources have thousands of words."""
+    sizes = {"huge": 250_000_000, "large": 150_000_000, "s500": 500, "s3000": 3000, "s5000": 5000, "one": 1, "million": 1_000_003}
+    sized = spark.createDataFrame([(s, n, "=" + s) for s, n in sizes.items()], "source string, size long, skey string")
+    plan = mixing.targets(sized)
+    rows = {r.source: r for r in plan.collect()}
+    got = dict.fromkeys(sizes, 0)
+    for r in mixing.schedule(plan).groupBy("skey", "block").count().collect():
+        p = rows[r.skey[1:]]
+        got[p.source] += r["count"] * min(p.block, p.source_size - r.block * p.block)
+    want = levels(sizes)
+    for s in sizes:
+        assert rows[s].target == pytest.approx(want[s])
+        assert got[s] == pytest.approx(want[s], rel=0.02, abs=1), s
+
+
+def test_small_sources_give_their_rows(spark):
+    sizes = {"big": 1_500_000, "b": 7, "c": 60}
+    d = docs(spark, {"big": sizes["big"]}, each=20_000).union(docs(spark, {"b": 7, "c": 60}, each=5).selectExpr("doc_id + 1000", "text", "source")).cache()
+    got = mixing.taken(d).collect()
+    for s in ("b", "c"):
+        assert sum(r["taken"] for r in got if r.source_size == sizes[s]) == pytest.approx(2 * sizes[s], abs=1)
+    words = {}
+    for r in mixing.mix(d).collect():
+        words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
+    assert words == {r.doc_id: r["taken"] for r in got if r["taken"]}
