@@ -55,6 +55,12 @@ def grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ((code[some] * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64), doc[:n][some]
 
 
+def padded(data: np.ndarray, offs: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets with a blank at both ends of documents ``some``."""
+    at = np.sort(np.concatenate([offs[:-1][some], offs[1:][some]]))
+    return np.insert(data, at, 0x20), offs + 2 * np.concatenate([[0], np.cumsum(some)])
+
+
 def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages in order, and each one's log probabilities of the buckets, from all of ``docs`` with a lang."""
 
@@ -141,24 +147,28 @@ def _lettered(rows: pa.RecordBatch) -> np.ndarray:
     return pc.fill_null(pc.match_substring_regex(rows.column("text"), r"\p{L}"), False).to_numpy(zero_copy_only=False)
 
 
-def _judged(rows: pa.RecordBatch, data: np.ndarray, offs: np.ndarray, langs: list[str], logp: np.ndarray) -> tuple[list[str], np.ndarray]:
+def _judged(rows: pa.RecordBatch, data: np.ndarray, offs: np.ndarray, langs: list[str], logp: np.ndarray, pad: bool = True) -> tuple[list[str], np.ndarray]:
+    lettered = _lettered(rows)
+    if pad:
+        data, offs = padded(data, offs, lettered & (np.diff(offs) < GRAM))
     lang, score = identify(*grams(data, offs), rows.num_rows, logp)
-    lang[~_lettered(rows)] = -1
+    lang[~lettered] = -1
     score[lang < 0] = 0.0
     return [langs[i] if i >= 0 else UNKNOWN for i in lang], score
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], pad: bool = False) -> DataFrame:
     """(doc_id, lang_pred, score) of every row: the main language of the chosen set and its share.
 
     Null texts and texts without a letter are "und" with score 0, as is everything when the
-    model has no language.  Repeated rows stay; an empty table gives no rows.
+    model has no language.  Texts too short for an n-gram are so too, unless ``pad`` puts a
+    blank at both their ends; the query and the pipeline do.  Repeated rows stay; an empty table gives no rows.
     """
     langs, shared = model[0], docs.sparkSession.sparkContext.broadcast(model[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offs in text_chunks(batches):
-            lang, score = _judged(rows, data, offs, langs, shared.value)
+            lang, score = _judged(rows, data, offs, langs, shared.value, pad)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(lang), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
@@ -185,7 +195,7 @@ def drop_rejected(docs: DataFrame, model: tuple[list[str], np.ndarray], least: f
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    out = predict(docs, learn(docs.where(~held_out(3))))
+    out = predict(docs, learn(docs.where(~held_out(3))), pad=True)
     return out.select("doc_id", held_out(3).alias("held_out"), "lang_pred", "score")
 
 

@@ -75,3 +75,22 @@ def test_no_languages_and_no_rows(spark, docs_of):
     model = L.learn(docs_of([], [(1, "text", None, None, None)]))
     assert model[0] == [] and [r.lang_pred for r in L.predict(docs_of(["text"]), model).collect()] == ["und"]
     assert L.predict(docs_of([]), model).count() == 0
+
+
+def test_short_lettered_texts_have_a_language(spark, docs_of, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    short = docs_of([], [(900_000 + i, t, None, None, None) for i, t in enumerate(["A.", "a", "ab", "\u00e9", "a", "1.", "", None])])
+    both = docs.select(short.columns).union(short)
+    both.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in L.op8_language_id(spark, str(tmp_path)).where("doc_id >= 900000").collect()}
+    got = [rows[900_000 + i] for i in range(8)]
+    assert all(r.lang_pred != "und" and r.score > 0 for r in got[:5]) and got[1].lang_pred == got[4].lang_pred
+    assert all(r.lang_pred == "und" and r.score == 0 for r in got[5:])
+    kept = {r.text for r in L.drop_rejected(short, L.learn(docs)).collect()}
+    assert "a" in kept and not kept & {"1.", "", None}
+
+
+def test_padding_changes_nothing_else():
+    data, offs = np.frombuffer(b"a123abx", np.uint8), np.array([0, 1, 4, 4, 6, 7])
+    out, at = L.padded(data, offs, np.array([True, False, False, True, True]))
+    assert out.tobytes() == b" a 123 ab  x " and at.tolist() == [0, 3, 6, 6, 10, 13]
