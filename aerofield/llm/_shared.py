@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's own setting to delete the shuffle files of an action when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, as a URI.
 
-    It is the cluster's ``spark.checkpoint.dir``.  Where that is unset (tests in
-    local mode) a temporary folder of this machine is set instead.
+    It is the cluster's ``spark.checkpoint.dir``.  Where that is unset, local mode (as
+    in tests) gets a temporary folder of this machine; a cluster is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -20,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(named)
         return named.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="shared-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
@@ -29,13 +36,33 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Actions inside give their shuffle files back when they end."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage ends there."""
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` is called so, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

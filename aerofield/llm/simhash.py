@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ._components import components
-from ._shared import table, written
+from ._shared import fresh_name, table, written
 from ._text import release
 
 SHINGLE_WORDS = 3
 SEED = 42
 MAX_BITS = 3
 #: Fingerprints of one subtrie that travel together.
-CHUNK = 4096
-#: Node pairs expanded at once.
+CHUNK = 1024
+#: Sorted fingerprints that a task holds at once.
+HELD = 1 << 16
+#: Node pairs expanded, and links held, at once.
 FRONTIER = 1 << 17
 
 
@@ -38,16 +40,17 @@ def fingerprint(text: str | None, size: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each whole text as a signed long; null texts are empty."""
+def fingerprints(docs: DataFrame, keep: list[str], name: str = "fp") -> DataFrame:
+    """Columns ``keep`` of ``docs`` and each whole text's fingerprint as a signed long; null texts are empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(x.as_py()) for x in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(x.as_py()) for x in b.column("text")), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(fps.view(np.int64))], names=[*keep, name])
         release()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    kept = docs.select(*keep)
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, StructType([*kept.schema.fields, StructField(name, LongType())]))
 
 
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -62,23 +65,26 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             root[up] = root[root[up]]
 
 
-def trie_links(a: np.ndarray, a_ranges: np.ndarray, b: np.ndarray, b_ranges: np.ndarray, same: np.ndarray, skip: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) with a[i] and b[j] at ``budget`` differing bits or fewer, within given range pairs.
+def trie_links(a: np.ndarray, a_ranges: np.ndarray, b: np.ndarray, b_ranges: np.ndarray, same: np.ndarray, skip: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) with a[i] and b[j] at ``budget`` differing bits or fewer, within given range pairs, in parts.
 
     Each range is the sorted content of one trie node below ``skip`` common leading
     bits.  Node pairs descend together, the differing bits add up and a pair over
     the budget is pruned; where both nodes hold one fingerprint, the rest of the
     bits is compared at once, as in a path-compressed trie.
     """
-    found_i, found_j = [], []
     errs = np.bitwise_count((a[a_ranges[:, 0]] ^ b[b_ranges[:, 0]]) >> np.uint64(64 - skip)).astype(np.int64) if skip else np.zeros(len(a_ranges), np.int64)
     stack = [(skip, np.column_stack([a_ranges, b_ranges, errs, same]))]
-    ones: dict[tuple[str, int], np.ndarray] = {}
 
-    def count(name: str, x: np.ndarray, k: int) -> np.ndarray:
-        if (name, k) not in ones:
-            ones[name, k] = np.concatenate([[0], np.cumsum((x >> np.uint64(63 - k)) & np.uint64(1), dtype=np.int64)])
-        return ones[name, k]
+    def middle(x: np.ndarray, k: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Where the ones of bit k begin in nodes of common leading bits: their common prefix, that bit set, is searched for."""
+        bit = np.uint64(63 - k)
+        first = ((x[lo] >> bit) | np.uint64(1)) << bit
+        while (open_ := lo < hi).any():
+            at = (lo + hi) >> 1
+            less = open_ & (x[np.minimum(at, len(x) - 1)] < first)
+            lo, hi = np.where(less, at + 1, lo), np.where(open_ & ~less, at, hi)
+        return lo
 
     while stack:
         k, f = stack.pop()
@@ -91,14 +97,13 @@ def trie_links(a: np.ndarray, a_ranges: np.ndarray, b: np.ndarray, b_ranges: np.
             x = f[leaf]
             near = np.bitwise_count(a[x[:, 0]] ^ b[x[:, 2]]) <= budget
             near &= ~((x[:, 5] == 1) & (x[:, 0] == x[:, 2]))
-            found_i.append(x[near, 0])
-            found_j.append(x[near, 2])
+            if near.any():
+                yield x[near, 0], x[near, 2]
             f = f[~leaf]
         if not len(f):
             continue
-        ca, cb = count("a", a, k), count("b", b, k)
         al, ah, bl, bh, e, s = f.T
-        am, bm = ah - (ca[ah] - ca[al]), bh - (cb[bh] - cb[bl])
+        am, bm = middle(a, k, al, ah), middle(b, k, bl, bh)
         twin = (s == 1) & (al == bl) & (ah == bh)
         parts = []
         for lo, hi, lo2, hi2, add, keep in ((al, am, bl, bm, 0, None), (am, ah, bm, bh, 0, None), (al, am, bm, bh, 1, None), (am, ah, bl, bm, 1, ~twin)):
@@ -107,78 +112,136 @@ def trie_links(a: np.ndarray, a_ranges: np.ndarray, b: np.ndarray, b_ranges: np.
                 ok &= keep
             parts.append(np.column_stack([lo[ok], hi[ok], lo2[ok], hi2[ok], e[ok] + add, s[ok]]))
         stack.append((k + 1, np.concatenate(parts)))
-    join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return join(found_i), join(found_j)
 
 
-def links(fps: DataFrame, budget: int = MAX_BITS, bits: int = 8) -> DataFrame:
-    """(u, v): links between distinct fingerprints ``fp`` that connect all within ``budget`` bits.
+def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Links between fingerprints that connect what the ``pairs`` of fingerprints do, without cycles; few pairs are held at once."""
+    u, v = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    held, n = [], 0
 
-    The trie is cut at ``bits`` leading bits (more for more fingerprints).  Each
-    subtrie travels in sorted chunks to the subtries whose leading bits differ in
-    ``budget`` bits or fewer.  A task that compares chunk pairs keeps a spanning forest
-    of the links it finds, not all pairs of a group.
-    """
-    masks = [sum(1 << i for i in c) for n in range(min(budget, bits) + 1) for c in combinations(range(bits), n)]
-    node = F.expr(f"shiftrightunsigned(fp, {64 - bits})")
-    ordered = fps.select("fp", node.alias("node")).repartition("node").sortWithinPartitions("node", F.expr("fp ^ (-9223372036854775807L - 1L)"))
+    def joined() -> tuple[np.ndarray, np.ndarray]:
+        i, j = (np.concatenate([x, *(h[k] for h in held)]) for k, x in enumerate((u, v)))
+        nodes, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+        root = _roots(len(nodes), at[: len(i)], at[len(i) :])
+        own = root != np.arange(len(nodes))
+        return nodes[own], nodes[root[own]]
+
+    for i, j in pairs:
+        held.append((i, j))
+        n += len(i)
+        if n > FRONTIER:
+            u, v = joined()
+            held, n = [], 0
+    return joined() if held else (u, v)
 
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep, at, n = np.zeros(0, np.uint64), None, 0
 
-        def out(x: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([n], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["node", "chunk", "fps"])
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    """Fingerprints turned left by so many bits."""
+    return x << np.uint64(by) | x >> np.uint64(64 - by) if by else x
+
+
+def links(fps: DataFrame, budget: int = MAX_BITS) -> DataFrame:
+    """(u, v): links between distinct fingerprints ``fp`` that connect all within ``budget`` bits.
 
+    The 64 bits are cut into ``budget`` + 1 blocks: two fingerprints within the budget agree in one
+    of them.  For each block there is a trie of the fingerprints turned so that the block leads; only pairs
+    below one node at that block's depth are looked at.  So a fingerprint travels once a
+    block, however many there are.  The turned fingerprints are dealt out by ranges, so that a node with
+    many is no task of its own.  A task joins the nodes that it has whole; nodes of more than `CHUNK`
+    fingerprints, and those at a task's ends, become sorted chunks, and chunks whose common
+    leading bits differ within the budget meet.  Links found together are kept as a spanning forest.
+    """
+    n = min(budget, 63) + 1
+    starts = [64 * i // n for i in range(n)]
+    width = [b - a for a, b in zip(starts, [*starts[1:], 64], strict=True)]
+    turned = F.array(*(F.struct(F.lit(i).alias("trie"), F.expr(f"(shiftleft(fp, {a}) | shiftrightunsigned(fp, {(64 - a) % 64})) ^ (-9223372036854775807L - 1L)").alias("place")) for i, a in enumerate(starts)))
+    ordered = fps.select(F.explode(turned).alias("t")).select("t.trie", "t.place").repartitionByRange("trie", "place").sortWithinPartitions("trie", "place")
+    top = np.uint64(1 << 63)
+
+    def out(u=(), v=(), trie: int | None = None, chunk: np.ndarray | None = None) -> pa.RecordBatch:
+        if chunk is None:
+            cols = [pa.array(np.asarray(u).view(np.int64)), pa.array(np.asarray(v).view(np.int64)), *(pa.nulls(len(u), t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))]
+        else:
+            alike = 64 - int(chunk[0] ^ chunk[-1]).bit_length()
+            node = chunk[:1] >> np.uint64(64 - width[trie])
+            cols = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([trie], pa.int32()), pa.array(node.view(np.int64)), pa.array(chunk[:1].view(np.int64)), pa.array([alike], pa.int32()), pa.array([chunk.tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, names=["u", "v", "trie", "node", "low", "alike", "fps"])
+
+    def joined(trie: int, x: np.ndarray, ranges: np.ndarray) -> Iterator[pa.RecordBatch]:
+        same = np.ones(len(ranges), np.int64)
+        u, v = forest((x[i], x[j]) for i, j in trie_links(x, ranges, x, ranges, same, width[trie], budget))
+        if len(u):
+            yield out(_turned(u, (64 - starts[trie]) % 64), _turned(v, (64 - starts[trie]) % 64))
+
+    def whole(trie: int, x: np.ndarray, edge: bool, last: bool) -> Iterator[pa.RecordBatch]:
+        """Nodes of one trie in order; the first is at an edge if ``edge``, the last if ``last``."""
+        node = x >> np.uint64(64 - width[trie])
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(node)) + 1, [len(x)]])
+        lo, hi = cuts[:-1], cuts[1:]
+        apart = hi - lo > CHUNK
+        apart[0] |= edge
+        apart[-1] |= last
+        for a, b in zip(lo[apart], hi[apart], strict=True):
+            for at in range(a, b, CHUNK):
+                yield out(trie=trie, chunk=x[at : min(at + CHUNK, b)])
+        some = ~apart & (hi - lo > 1)
+        if some.any():
+            yield from joined(trie, x, np.column_stack([lo[some], hi[some]]))
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at, edge = np.zeros(0, np.uint64), 0, True
         for b in batches:
-            fp, nodes = np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1))
-            for part in np.split(np.arange(len(fp)), np.flatnonzero(np.diff(nodes)) + 1):
+            tries, x = np.asarray(b.column(0)), np.asarray(b.column(1)).view(np.uint64) ^ top
+            for part in np.split(np.arange(len(x)), np.flatnonzero(np.diff(tries)) + 1):
                 if not len(part):
                     continue
-                if nodes[part[0]] != at:
-                    if len(keep):
-                        yield out(keep)
-                    keep, at, n = np.zeros(0, np.uint64), int(nodes[part[0]]), 0
-                keep = np.concatenate([keep, fp[part]])
-                while len(keep) > CHUNK:
-                    yield out(keep[:CHUNK])
-                    keep, n = keep[CHUNK:], n + 1
-        if len(keep):
-            yield out(keep)
-
-    tries = written(ordered.mapInArrow(chunks, "node long, chunk long, fps binary"), "subtries")
-    left = tries.withColumn("mask", F.explode(F.array(*map(F.lit, masks)).cast("array<bigint>"))).select(F.expr("node ^ mask").alias("node"), "mask", F.col("node").alias("a_node"), F.col("chunk").alias("a_chunk"), F.col("fps").alias("a")).where("node >= a_node")
-    pairs = left.join(tries, "node").where("node > a_node or chunk >= a_chunk").select("a", F.col("fps").alias("b"), F.expr("mask = 0 and chunk = a_chunk").alias("same"))
+                if tries[part[0]] != at:
+                    if len(held):
+                        yield from whole(at, held, edge, False)
+                        held, edge = np.zeros(0, np.uint64), False
+                    at = int(tries[part[0]])
+                held = np.concatenate([held, x[part]])
+                if len(held) > HELD:
+                    # the last node may go on: it is held back, or its part here becomes chunks
+                    cut = int(np.searchsorted(held, held[-1] >> np.uint64(64 - width[at]) << np.uint64(64 - width[at])))
+                    if cut:
+                        yield from whole(at, held[:cut], edge, False)
+                        held, edge = held[cut:], False
+                    if len(held) > HELD // 2:
+                        yield from whole(at, held, True, True)
+                        held, edge = np.zeros(0, np.uint64), True
+        if len(held):
+            yield from whole(at, held, edge, True)
+        release()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
-                x, y = ([np.frombuffer(v.as_buffer(), np.uint64) for v in b.column(k)] for k in (0, 1))
-                same = np.asarray(b.column(2).to_pandas(), np.int64)
-                ends = [np.concatenate([[0], np.cumsum([len(v) for v in z])]) for z in (x, y)]
-                x, y = np.concatenate(x), np.concatenate(y)
-                a_r, b_r = (np.column_stack([e[:-1], e[1:]]) for e in ends)
-                # a self pair must show equal positions on both sides
-                self_row = same == 1
-                i, j = [], []
-                if self_row.any():
-                    p, q = trie_links(x, a_r[self_row], x, a_r[self_row], same[self_row], bits, budget)
-                    i.append(x[p])
-                    j.append(x[q])
-                if not self_row.all():
-                    p, q = trie_links(x, a_r[~self_row], y, b_r[~self_row], same[~self_row], bits, budget)
-                    i.append(x[p])
-                    j.append(y[q])
-                i, j = np.concatenate(i), np.concatenate(j)
-                if not len(i):
+    found = written(ordered.mapInArrow(runs, "u long, v long, trie int, node long, low long, alike int, fps binary"), "subtries")
+    chunks = found.where("fps is not null")
+    one, two = (chunks.select("trie", "node", F.col("low").alias(f"{k}_low"), F.col("alike").alias(f"{k}_alike")) for k in "ab")
+    near = f"bit_count(shiftrightunsigned(a_low ^ b_low, 64 - least(a_alike, b_alike))) <= {budget} and (a_low ^ (-9223372036854775807L - 1L)) <= (b_low ^ (-9223372036854775807L - 1L))"
+    pairs = one.join(two, ["trie", "node"]).where(near).select("trie", "a_low", "b_low")
+    for k in "ab":
+        pairs = pairs.join(chunks.select("trie", F.col("low").alias(f"{k}_low"), F.col("fps").alias(k)), ["trie", f"{k}_low"])
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for trie, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (a, b))
+                same = x[0] == y[0]
+                if same and len(x) < 2:
                     continue
-                nodes, at_node = np.unique(np.concatenate([i, j]), return_inverse=True)
-                root = _roots(len(nodes), at_node[: len(i)], at_node[len(i) :])
-                own = root != np.arange(len(nodes))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[own].view(np.int64)), pa.array(nodes[root[own]].view(np.int64))], names=["u", "v"])
+                one, two = (np.array([[0, len(v)]]) for v in (x, y))
+                u, v = forest((x[i], y[j]) for i, j in trie_links(x, one, y, two, np.array([int(same)]), width[trie], budget))
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(_turned(w, (64 - starts[trie]) % 64).view(np.int64)) for w in (u, v)], names=["u", "v"])
         release()
 
-    return pairs.mapInArrow(run, "u long, v long")
+    return found.where("u is not null").select("u", "v").unionByName(pairs.select("trie", "a", "b").mapInArrow(met, "u long, v long"))
+
+
+def classes(distinct: DataFrame, budget: int = MAX_BITS) -> DataFrame:
+    """``distinct`` fingerprints, one row each, with ``root``: the same for all that links connect."""
+    root = components(links(distinct.select("fp"), budget)).select(F.col("node").alias("fp"), "root")
+    return distinct.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def near_groups(docs: DataFrame, budget: int = MAX_BITS) -> DataFrame:
@@ -188,23 +251,27 @@ def near_groups(docs: DataFrame, budget: int = MAX_BITS) -> DataFrame:
     repeat a doc_id stay; a null doc_id is never a component's id unless all its
     documents have none.  An empty table gives no rows; other columns are ignored.
     """
-    fps = written(fingerprints(docs), "fingerprints")
-    distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    bits = max(8, int(np.ceil(np.log2(max(1, distinct.count()) / CHUNK))))
-    root = components(links(distinct, budget, min(bits, 24))).select(F.col("node").alias("fp"), "root")
-    named = distinct.join(root, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    fps = written(fingerprints(docs.select(F.col("doc_id").cast("long"), "text"), ["doc_id"]), "fingerprints")
+    named = classes(written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct"), budget)
     lowest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = written(named.join(lowest, "root").select("fp", "component_id"), "components")
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, budget: int = MAX_BITS) -> DataFrame:
-    """The documents whose doc_id is their group's smallest, with all their columns.
+    """One row of each near-duplicate group, with all its columns: that of the smallest doc_id.
 
-    Rows without a doc_id can't be named by a group and stay.
+    Rows are told apart by their place in a written copy of ``docs``, not by doc_id: of rows that
+    share their group's smallest doc_id the first there stays, and a row whose doc_id
+    repeats in another group stays as that group's.  A row without a doc_id stays only if
+    its group has no doc_id.  An empty table gives no rows.
     """
-    gone = near_groups(docs, budget).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    fp, row = fresh_name(docs, "fp"), fresh_name(docs, "row")
+    rows = written(fingerprints(docs, docs.columns, fp).withColumn(row, F.monotonically_increasing_id()), "rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"))).alias("first")
+    distinct = written(rows.groupBy(F.col(fp).alias("fp")).agg(first), "distinct")
+    stay = classes(distinct, budget).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return rows.join(written(stay, "kept"), row, "left_semi").select(docs.columns)
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
