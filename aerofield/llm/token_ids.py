@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import regex
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._pieces import distinct_chunks, gather
@@ -31,6 +31,8 @@ MAGIC = b"TOKIDS01"
 MEMORY = 300_000
 #: Texts encoded at once, in bytes.
 BATCH_BYTES = 4 << 20
+#: Ids read back at once, unless one document has more.
+READ_IDS = 1 << 20
 
 
 def vocabulary_path() -> str:
@@ -44,15 +46,21 @@ class Encoder:
 
     The vocabulary's own rule cuts a text before each blank that follows something other
     than white space, wherever else it cuts too; so the parts between such blanks are encoded
-    on their own, with equal results, and repeated parts and words are looked up.
+    on their own, with equal results, and repeated parts and words are looked up.  As in the
+    library, the strings of special tokens in a text are those tokens, unless ``special_as_text``.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_as_text: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.model = self.tokenizer.model
+        added = {} if special_as_text else self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: i for i, t in added.items()}
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError(f"{path}: special tokens that take their surroundings in are not supported")
+        self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         # fixed values: the split pattern of the byte-level pre-tokenizer
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -77,9 +85,22 @@ class Encoder:
             ids += self.word(w)
         return ids
 
+    def whole(self, text: str) -> list[int]:
+        """The ids of any text."""
+        ids: list[int] = []
+        for piece in self.specials.split(text) if self.specials else [text]:
+            if piece in self.added:
+                ids.append(self.added[piece])
+            else:
+                for p in re.split(r"(?<=\S)(?= )", piece):
+                    ids += self.part(p)
+        return ids
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, one after the other, and each text's number of ids."""
         odd = pc.match_substring_regex(texts, r"\s |\s$| $|^ ").to_numpy(zero_copy_only=False)
+        for content in self.added:
+            odd = odd | pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         counts, numbers, chunks = distinct_chunks(pc.if_else(pa.array(odd), "", texts))
         firsts = np.cumsum(counts) - counts
         first = np.zeros(len(numbers), bool)
@@ -110,20 +131,21 @@ class Encoder:
             return flat, per_text
         each = np.split(flat, np.cumsum(per_text)[:-1])
         for i in np.flatnonzero(odd):
-            each[i] = np.array([x for p in re.split(r"(?<=\S)(?= )", texts[int(i)].as_py()) for x in self.part(p)], np.uint32)
+            each[i] = np.array(self.whole(texts[int(i)].as_py()), np.uint32)
         return np.concatenate(each), np.array([len(x) for x in each])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
+    key = (path, special_as_text)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+def encoded(batches: Iterator[pa.RecordBatch], path: str, special_as_text: bool = False) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """(doc ids, ids with end ids, their numbers by document) of batches of (doc_id, text)."""
     for batch in batches:
         texts = pc.fill_null(batch.column(1), "")
@@ -131,7 +153,7 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.A
         at = 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_BYTES, "right")))
-            flat, n = encoder(path).encode(texts.slice(at, to - at))
+            flat, n = encoder(path, special_as_text).encode(texts.slice(at, to - at))
             yield batch.column(0).slice(at, to - at), np.insert(flat, np.cumsum(n), END_ID).astype("<u4", copy=False), n + 1
             at = to
     release()
@@ -146,10 +168,10 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype("<u4")
 
 
-def trained(docs: DataFrame, path: str) -> bytes:
+def trained(docs: DataFrame, path: str, special_as_text: bool = False) -> bytes:
     """A dictionary from a bounded sample: leading ids of the `SAMPLE_DOCS` documents of smallest hash."""
     sample = docs.select(F.col("doc_id").cast("long"), F.substring("text", 1, 4 * SAMPLE_IDS).alias("text")).orderBy(F.xxhash64("doc_id"), "text").limit(SAMPLE_DOCS).toArrow()
-    pieces = [packed(x[:SAMPLE_IDS]) for b in sample.to_batches() for _, flat, n in encoded(iter([b]), path) for x in np.split(flat, np.cumsum(n)[:-1])]
+    pieces = [packed(x[:SAMPLE_IDS]) for b in sample.to_batches() for _, flat, n in encoded(iter([b]), path, special_as_text) for x in np.split(flat, np.cumsum(n)[:-1])]
     if sum(map(len, pieces)) < 8 * 1024 or len(pieces) < 16:
         return b""
     return zstandard.train_dictionary(min(DICT_BYTES, sum(map(len, pieces)) // 4), pieces).as_bytes()
@@ -166,34 +188,35 @@ def _open(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
-def write_files(docs: DataFrame, folder: str, path: str) -> list[tuple[str, int, int]]:
-    """Encode ``docs`` into files of ascending doc_id; returns (name, documents, ids) of each, in order.
+def write_files(docs: DataFrame, folder: str, path: str, order: list[Column] | None = None, special_as_text: bool = False) -> list[tuple[str, int, int]]:
+    """Encode ``docs`` into files, in ascending doc_id or another ``order``; returns (name, documents, ids) of each, in order.
 
-    Documents are dealt out by ranges of doc_id; those of one id follow each other by a hash of
-    their text, so that no id is bound to one task.  A file appears under its name only when it is
-    whole, and a task that runs again writes the same file.
+    Documents are dealt out by ranges of the order; those of one doc_id follow each other by a hash of
+    their text, so that no id is bound to one task.  Every attempt of a task writes a file of
+    its own name, and the list names the files of those that counted.
     """
     spark = docs.sparkSession
     fs, at = _open(folder)
     fs.create_dir(at)
-    dictionary = trained(docs, path)
+    dictionary = trained(docs, path, special_as_text)
     with fs.open_output_stream(f"{at}/dictionary.zdict") as f:
         f.write(dictionary)
     shared = spark.sparkContext.broadcast(dictionary)
-    d = docs.select(F.col("doc_id").cast("long"), "text")
-    parts = max(1, d.rdd.getNumPartitions())
-    ranged = d.repartitionByRange(parts, F.col("doc_id").asc_nulls_last(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    order = order or [F.col("doc_id").cast("long"), F.xxhash64("text")]
+    places = [f"place{i}" for i in range(len(order))]
+    d = docs.select(F.col("doc_id").cast("long"), "text", *(c.alias(k) for c, k in zip(order, places, strict=True)))
+    ways = [F.col(k).asc_nulls_last() for k in places]
+    ranged = d.repartitionByRange(max(1, d.rdd.getNumPartitions()), *ways).sortWithinPartitions(*ways).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(shared.value) if shared.value else None, write_content_size=True)
         fs, at = _open(folder)
-        name = f"part-{TaskContext.get().partitionId():06d}.tok"
-        own = f"{at}/.{name}-{uuid.uuid4().hex}"
+        name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.tok"
         index, total, place = [], 0, 0
-        with fs.open_output_stream(own) as f:
-            for keys, flat, n in encoded(batches, path):
+        with fs.open_output_stream(f"{at}/{name}") as f:
+            for keys, flat, n in encoded(batches, path, special_as_text):
                 rows = np.zeros(len(n), INDEX)
                 rows["doc_id"], rows["named"], rows["ids"] = pc.fill_null(keys, 0).to_numpy(), pc.is_valid(keys).to_numpy(zero_copy_only=False), n
                 for i, x in enumerate(np.split(flat, np.cumsum(n)[:-1])):
@@ -206,12 +229,9 @@ def write_files(docs: DataFrame, folder: str, path: str) -> list[tuple[str, int,
             f.write(index.tobytes())
             f.write(struct.pack(_HEAD, MAGIC, hashlib.sha256(shared.value).digest(), len(index), total, place))
         if len(index):
-            if fs.get_file_info(f"{at}/{name}").type != pafs.FileType.NotFound:
-                fs.delete_file(f"{at}/{name}")
-            fs.move(own, f"{at}/{name}")
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(index)]), pa.array([total])], names=["name", "docs", "ids"])
         else:
-            fs.delete_file(own)
+            fs.delete_file(f"{at}/{name}")
 
     found = ranged.mapInArrow(run, "name string, docs long, ids long").collect()
     return sorted(tuple(r) for r in found)
@@ -252,26 +272,27 @@ def read_files(spark: SparkSession, folder: str, files: list[tuple[str, int, int
             for name, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 f = TokenFile(folder, name)
                 at = start + np.cumsum(f.index["ids"]) - f.index["ids"]
-                for lo in range(0, len(f.index), 1024):
-                    rows = f.index[lo : lo + 1024]
-                    each = [f.document(i) for i in range(lo, lo + len(rows))]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(rows["doc_id"], mask=~rows["named"]), pa.array(at[lo : lo + 1024]), pa.array(rows["ids"]), pa.array([x.tobytes() for x in each], pa.binary())],
-                        names=["doc_id", "start", "n_tokens", "ids"],
-                    )
+                lo = 0
+                while lo < len(f.index):
+                    hi = max(lo + 1, int(np.searchsorted(at, at[lo] + READ_IDS)))
+                    rows = f.index[lo:hi]
+                    each = [f.document(i).tobytes() for i in range(lo, hi)]
+                    yield pa.RecordBatch.from_arrays([pa.array(rows["doc_id"], mask=~rows["named"]), pa.array(at[lo:hi]), pa.array(rows["ids"]), pa.array(each, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+                    lo = hi
 
     return manifest.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def token_files(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Write ``docs`` to token files in the shared folder and read them back.
+def token_files(docs: DataFrame, path: str | None = None, order: list[Column] | None = None, special_as_text: bool = False) -> DataFrame:
+    """Write ``docs`` to token files in the shared folder, in ascending doc_id or another ``order``, and read them back.
 
     (doc_id, start, n_tokens, ids): ids are little-endian unsigned 32-bit integers, the
-    end id 0 last.  Null texts are empty; a null doc_id comes last; repeated rows are
-    documents of their own; an empty table gives no rows; other columns are ignored.
+    end id 0 last.  Null texts are empty; nulls come last in the order; repeated rows are
+    documents of their own; an empty table gives no rows; other columns are ignored.  A special
+    token's string in a text is that token, as in the library, unless ``special_as_text``.
     """
     folder = fresh_dir(docs.sparkSession, "tokens")
-    return read_files(docs.sparkSession, folder, write_files(docs, folder, path or vocabulary_path()))
+    return read_files(docs.sparkSession, folder, write_files(docs, folder, path or vocabulary_path(), order, special_as_text))
 
 
 def digest(tokens: DataFrame) -> DataFrame:

@@ -4,14 +4,16 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tokenizers import Tokenizer
+
 from aerofield.llm import token_ids as T
 from aerofield.llm._shared import fresh_dir
 
-ODD = ["", "a  b", "a \n b", "  x", " ", "\n", "a\n\n b  ", "hello world\n", "it's  we'll", "<|endoftext|> x", "a\tb \tc", " lead", "tail ", "日本語 テスト", "é" * 300, "x y z"]
+ODD = ["", "a  b", "a \n b", "  x", " ", "\n", "a\n\n b  ", "hello world\n", "it's  we'll", "<|endoftext|> x", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|", "end<|endoftext|>\n ", "a\tb \tc", " lead", "tail ", "日本語 テスト", "é" * 300, "x y z"]
 
 
 def library(texts):
-    return [e.ids + [0] for e in T.Encoder(T.vocabulary_path()).tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    return [e.ids + [0] for e in Tokenizer.from_file(T.vocabulary_path()).encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def test_encoding_matches_the_library(prose):
@@ -55,3 +57,18 @@ def test_edge_rows(spark, docs_of):
 def test_wide_ids():
     for x in ([], [1, 65535], [1, 65536]):
         assert T.unpacked(T.packed(np.array(x, np.uint32))).tolist() == x
+
+
+def test_special_tokens_as_text():
+    t = Tokenizer.from_file(T.vocabulary_path())
+    t.encode_special_tokens = True
+    text = "a <|endoftext|> b"
+    flat, _ = T.Encoder(T.vocabulary_path(), special_as_text=True).encode(pa.array([text]))
+    assert flat.tolist() == t.encode(text, add_special_tokens=False).ids != T.Encoder(T.vocabulary_path()).encode(pa.array([text]))[0].tolist()
+
+
+def test_another_order(spark, docs_of):
+    from pyspark.sql import functions as F
+
+    got = sorted(T.token_files(docs_of(["c", "a", "b"]), order=[F.col("text")]).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [1, 2, 0]
