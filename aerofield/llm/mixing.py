@@ -29,6 +29,12 @@ def size() -> Column:
     return F.expr(r"cast(coalesce(regexp_count(text, '[^\\x20\\x09-\\x0D]+'), 0) as bigint)")
 
 
+def _order(seed: str = "mix") -> Column:
+    """What rows of a source are shuffled by: the MD5 of doc_id, ``seed`` and the text's MD5."""
+    own = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
+    return F.md5(F.concat(own, F.lit(f":{seed}:"), F.md5(F.coalesce("text", F.lit("")))))
+
+
 def _key() -> Column:
     """A source as a string that is never null."""
     return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))
@@ -64,6 +70,12 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return s.withColumn("high", F.sum("part").over(upto)).withColumn("low", F.col("high") - F.col("part")).withColumn("total", F.sum("part").over(everything)).drop("level", "part")
 
 
+def slots_of(plan: DataFrame) -> tuple[float, int]:
+    """Words of the mix's targets, and slots of its schedule."""
+    head = plan.agg(F.first("total").alias("total"), F.first("slot").alias("slot")).first()
+    return float(head.total or 0), -(-int(head.total or 0) // (head.slot or 1))
+
+
 def block_words(total: Column) -> Column:
     return F.greatest(F.lit(1), F.least(F.lit(BLOCK_WORDS), F.floor(total / SLOTS))).cast("bigint")
 
@@ -77,11 +89,10 @@ def schedule(plan: DataFrame) -> DataFrame:
     allowed epoch take nothing.
     """
     spark = plan.sparkSession
-    head = plan.agg(F.first("total").alias("total"), F.first("slot").alias("slot")).first()
-    slots = -(-int(head.total or 0) // (head.slot or 1))
+    total, slots = slots_of(plan)
     at = F.col("slot") * F.lit(GOLDEN)
-    points = spark.range(slots).withColumnRenamed("id", "slot").withColumn("point", (at - F.floor(at)) * F.lit(float(head.total or 0)))
-    cell = lambda x: F.floor(x * CELLS / F.lit(float(head.total or 1)))
+    points = spark.range(slots).withColumnRenamed("id", "slot").withColumn("point", (at - F.floor(at)) * F.lit(total))
+    cell = lambda x: F.floor(x * CELLS / F.lit(total or 1.0))
     parts = plan.where("target > 0").select("skey", "low", "high", F.ceil(F.col("source_size") / F.col("block")).cast("bigint").alias("blocks"), F.explode(F.sequence(cell(F.col("low")) - 1, cell(F.col("high")) + 1)).alias("cell"))
     dealt = points.withColumn("cell", cell(F.col("point"))).join(F.broadcast(parts) if plan.count() < 1000 else parts, "cell").where("point >= low and point < high")
     dealt = dealt.select("slot", "skey", "blocks", F.expr(f"slot div {CHUNK_SLOTS}").alias("chunk"))
@@ -93,31 +104,30 @@ def schedule(plan: DataFrame) -> DataFrame:
     return ranked.where(f"rank < {CAP} * blocks").selectExpr("slot", "skey", "rank", "rank div blocks as epoch", "rank % blocks as block")
 
 
-def placed(docs: DataFrame, carry: list[str], seed: str = "mix") -> DataFrame:
-    """``carry``, skey, size and start: where each row's words begin in its source's shuffled stream.
+def placed(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """``carry``, skey, size and start: where each row's words begin in its source's stream, shuffled by ``key``.
 
-    Rows of a source are shuffled by the MD5 of their doc_id and ``seed``; ties go by size.
+    Rows of equal keys have one doc_id and text, so that their order among themselves is of no account.
     """
-    d = docs.withColumn("key", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}"))))
-    d = d.withColumn("chunk", F.substring("key", 1, CHUNK_DIGITS))
+    d = docs.withColumn("chunk", F.substring("key", 1, CHUNK_DIGITS))
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     chunks = d.groupBy("skey", "chunk").agg(F.sum("size").alias("words"))
     chunks = chunks.select("skey", "chunk", F.coalesce(F.sum("words").over(before(Window.partitionBy("skey").orderBy("chunk"))), F.lit(0)).alias("before"))
-    d = d.withColumn("inside", F.coalesce(F.sum("size").over(before(Window.partitionBy("skey", "chunk").orderBy("key", "size"))), F.lit(0)))
+    d = d.withColumn("inside", F.coalesce(F.sum("size").over(before(Window.partitionBy("skey", "chunk").orderBy("key"))), F.lit(0)))
     return d.join(chunks, ["skey", "chunk"]).select(*carry, "skey", "size", (F.col("inside") + F.col("before")).alias("start"))
 
 
 def taken(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of each row: the words that the schedule takes of it.
 
-    Null texts have no words; a null source is a source; a null doc_id shuffles as an
-    empty one; repeated rows are rows of their own; empty tables give no rows.
+    Null texts have no words; a null source is a source; rows that share a doc_id, or have none, are
+    shuffled by their texts; repeated rows are rows of their own; empty tables give no rows.
     """
-    sized = written(docs.select(F.col("doc_id").cast("long"), "source", size().alias("size"), _key().alias("skey")), "sizes")
+    sized = written(docs.select(F.col("doc_id").cast("long"), "source", size().alias("size"), _key().alias("skey"), _order().alias("key")), "sizes")
     plan = written(targets(sized), "targets")
     if not plan.count():
         return sized.select("doc_id", "size", F.col("size").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("taken"))
-    d = placed(sized.withColumn("row", F.xxhash64(F.monotonically_increasing_id())), ["doc_id", "row"])
+    d = placed(sized.withColumn("row", F.monotonically_increasing_id()), ["doc_id", "row"])
     d = written(d, "placed")
     times = schedule(plan).groupBy("skey", "block").agg(F.count("*").alias("times"))
     words = plan.select("skey", F.col("block").alias("words"))
@@ -127,19 +137,29 @@ def taken(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """``docs`` as the mix takes them: a row per document and epoch, with the words taken there.
+    """``docs`` as the mix takes them: a row per document and epoch, with the words taken there, in the schedule's order.
 
     A document that an epoch takes whole keeps its text; where the epoch ends inside it, it
-    keeps its leading words and their white space.
+    keeps its leading words and their white space.  A row stands at the slot of the block in which its
+    words begin, rows of one block in the order of their source's stream: partitions hold ranges of slots
+    in order, and rows are sorted in them, so that sources alternate as scheduled in files written from it.
+
+    Nulls and repeated rows are as in `taken`; rows without words go, as nothing is taken of them; columns
+    may have any names; an empty table gives no rows.
     """
-    one = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long"), "source", size().alias("size"), _key().alias("skey"))
+    one = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long"), "source", size().alias("size"), _key().alias("skey"), _order().alias("key"))
     plan = written(targets(one.select("source", "size", "skey")), "targets")
     if not plan.count():
         return docs
     words = plan.select("skey", F.col("block").alias("words"))
-    ends = schedule(plan).groupBy("skey", "epoch").count().join(words, "skey").select("skey", (F.col("count") * F.col("words")).alias("stop"))
-    ends = ends.groupBy("skey").agg(F.collect_list("stop").alias("stops"))  # at most CAP epochs
-    rows = placed(one, ["row"]).join(ends, "skey").select("row", "size", F.explode(F.expr("transform(stops, s -> least(size, s - start))")).alias("kept")).where("kept > 0")
+    slots = written(schedule(plan).join(words, "skey"), "schedule")
+    ends = slots.groupBy("skey", "words", "epoch").count().select("skey", "words", F.struct("epoch", (F.col("count") * F.col("words")).alias("stop")).alias("end"))
+    ends = ends.groupBy("skey", "words").agg(F.collect_list("end").alias("ends"))  # at most CAP epochs
+    rows = placed(one, ["row"]).join(ends, "skey").select("row", "skey", "size", "start", "words", F.explode("ends").alias("end"))
+    rows = rows.select("row", "skey", "size", "start", F.expr("start div words").alias("block"), "end.epoch", F.least("size", F.col("end.stop") - F.col("start")).alias("kept")).where("kept > 0")
+    rows = rows.join(slots.select("skey", "epoch", "block", "slot"), ["skey", "epoch", "block"])
+    parts = max(1, docs.rdd.getNumPartitions())
+    rows = rows.repartitionById(parts, F.expr(f"cast(slot * {parts} div {max(1, slots_of(plan)[1])} as int)")).sortWithinPartitions("slot", "start")
     part = F.expr(r"case when kept = size then row.text else array_join(slice(regexp_extract_all(row.text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0), 1, cast(kept as int)), '') end")
     return rows.withColumn("row", F.col("row").withField("text", part)).select("row.*")
 
@@ -150,7 +170,7 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES = {
     "op4_source_mixing": rf"""
-WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+WITH sized AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix:' || md5(coalesce(text, ''))) AS key, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sized GROUP BY source),
 w AS (SELECT *, CAST([5, 2, 1][rank % 3 + 1] AS DOUBLE) AS weight, 2.0::DOUBLE * source_size AS full_size FROM src),
 lv AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(full_size) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level
@@ -164,7 +184,7 @@ ranked AS (SELECT slot, rank AS src, row_number() OVER (PARTITION BY rank ORDER
   FROM slots JOIN blk ON point >= low AND point < high),
 times AS (SELECT src, nth % blocks AS b, count(*) AS times FROM ranked WHERE nth < 2 * blocks GROUP BY ALL),
 pos AS (SELECT doc_id, size, rank AS src, source_size, target, block,
-  coalesce(sum(size) OVER (PARTITION BY rank ORDER BY md5(CAST(doc_id AS VARCHAR) || ':mix') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  coalesce(sum(size) OVER (PARTITION BY rank ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM sized JOIN blk ON sized.source IS NOT DISTINCT FROM blk.source),
 parts AS (SELECT doc_id, src, start, size, block, unnest(range(CAST(start // block AS BIGINT), CAST((start + size - 1) // block AS BIGINT) + 1)) AS b FROM pos WHERE size > 0),
 got AS (SELECT doc_id, CAST(sum(times * (least(start + size, (parts.b + 1) * block) - greatest(start, parts.b * block))) AS BIGINT) AS taken FROM parts JOIN times ON parts.src = times.src AND parts.b = times.b GROUP BY doc_id)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from aerofield.llm import mixing
 
@@ -65,6 +66,29 @@ def test_mix_takes_the_same_words(spark):
     assert words == {k: v for k, v in taken.items() if v}
 
 
+def test_mix_follows_the_schedule(spark):
+    """Rows come in the order of the slots in which they begin: any stretch holds sources as their targets."""
+    d = docs(spark, {"a": 30000, "b": 30000, "c": 30000}, each=10).repartition(6)
+    got = mixing.mix(d).select("source", F.spark_partition_id().alias("part"), F.size(F.split("text", " ")).alias("n")).collect()
+    assert [r.part for r in got] == sorted(r.part for r in got) and len({r.part for r in got}) == 6
+    target = {r.source: r.target / r.total for r in mixing.targets(d.select("source", mixing.size().alias("size"), mixing._key().alias("skey"))).collect()}
+    for lo in range(0, len(got) - 1000, 1000):
+        words = dict.fromkeys(target, 0)
+        for r in got[lo : lo + 1000]:
+            words[r.source] += r.n
+        for s, share in target.items():
+            assert words[s] / sum(words.values()) == pytest.approx(share, abs=0.03)
+
+
+def test_rows_that_share_an_id(spark):
+    rows = [(None, f"text {i} of nobody", "x") for i in range(50)] + [(3, f"text {i} of three", "x") for i in range(50)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"skey": F.lit("k"), "start": F.lit(1), "row": F.lit("r"), "slot": F.lit(2)})
+    got = mixing.taken(d).collect()
+    assert len(got) == 100 and sum(r["taken"] for r in got) == pytest.approx(1.5 * 400, abs=4)
+    mixed = mixing.mix(d)
+    assert mixed.columns == d.columns and mixed.select(F.sum(F.size(F.split("text", " ")))).first()[0] == sum(r["taken"] for r in got)
+
+
 def test_edge_rows(spark):
     rows = [(None, "a b", "x"), (1, None, None), (1, "", None), (2, " c \n d", "x"), (2, " c \n d", "x")]
     got = mixing.taken(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
