@@ -15,14 +15,23 @@ def opened(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def put(folder: str, name: str, data: bytes) -> None:
-    """Write a file that appears under its name only when it is whole; a second write replaces the first."""
+    """Write a file that appears under its name only when it is whole.
+
+    All attempts of a task write the same bytes, so the first file under a name stays.
+    """
     fs, at = opened(folder)
     own = f"{at}/.{name}-{uuid.uuid4().hex}"
+    there = lambda: fs.get_file_info(f"{at}/{name}").type != pafs.FileType.NotFound
+    if there():
+        return
     with fs.open_output_stream(own) as f:
         f.write(data)
-    if not isinstance(fs, pafs.LocalFileSystem) and fs.get_file_info(f"{at}/{name}").type != pafs.FileType.NotFound:
-        fs.delete_file(f"{at}/{name}")
-    fs.move(own, f"{at}/{name}")
+    try:
+        fs.move(own, f"{at}/{name}")
+    except OSError:
+        if not there():
+            raise
+        fs.delete_file(own)
 
 
 def get(folder: str, name: str) -> bytes:

@@ -32,6 +32,10 @@ from ._text import mix, prefix_hash, span_hash, text_chunks
 
 LENGTH, GRAM = 200, 100
 BLOCK_BYTES = 3 << 20
+#: Offsets fit one byte.
+MOST = 255 + GRAM
+#: What a message about suffixes holds, in `ask_suffixes`' order.
+_ITEM = (np.uint8, np.uint8, np.uint8, np.uint16, np.uint8, np.uint32, np.uint16, np.uint8)
 
 
 def segments(data: np.ndarray, offs: np.ndarray, h: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,11 +70,15 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBa
         number += 1
 
 
+def digest(data: np.ndarray, offs: np.ndarray) -> int:
+    return _exchange.digest(data, offs)
+
+
 class Suspects:
     """Segments of a block whose anchors occur elsewhere, with the text around them."""
 
-    def __init__(self, block: int, packed: bytes, length: int) -> None:
-        self.block, self.length = block, length
+    def __init__(self, block: int, digest: int, packed: bytes, length: int) -> None:
+        self.block, self.digest, self.length = block, digest, length
         self.data, self.place, self.shift, self.lo, self.hi, self.anchor = _files.unpack(packed)
         self.h = prefix_hash(self.data)
         self.grams = span_hash(self.h, self.anchor, self.anchor + GRAM)
@@ -94,7 +102,7 @@ class Suspects:
     def repeated(self, wholes: Answers, buckets: int) -> np.ndarray:
         """Whether each segment repeats as a whole."""
         hashes, at, _ = _distinct(self.whole)
-        return _exchange.count_answers(wholes, self.block, hashes, buckets)[at] > 1
+        return _exchange.count_answers(wholes, self.block, self.digest, hashes, buckets)[at] > 1
 
     def looked_at(self, wholes: Answers, mixed: Answers, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Windows that need fingerprints of their own, their segments, and which segments repeat as a whole.
@@ -103,7 +111,7 @@ class Suspects:
         """
         whole = self.repeated(wholes, buckets)
         hashes, at, _ = _distinct(self.grams)
-        has_others = _exchange.count_answers(mixed, self.block, hashes, buckets)[at] > 0
+        has_others = _exchange.count_answers(mixed, self.block, self.digest, hashes, buckets)[at] > 0
         return *self.windows(np.flatnonzero(~whole | has_others)), whole
 
     def windows(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,8 +123,8 @@ class Suspects:
 
 def suspects_of(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[Suspects]:
     for b in batches:
-        for block, packed in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            yield Suspects(block, packed.as_buffer(), length)
+        for block, digest, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+            yield Suspects(block, digest, packed.as_buffer(), length)
 
 
 def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,7 +137,7 @@ class Runs:
     def __init__(self, s: Suspects, wholes: Answers, mixed: Answers, singles: Answers, buckets: int) -> None:
         w, seg, whole = s.looked_at(wholes, mixed, buckets)
         hashes, at, _ = _distinct(span_hash(s.h, w, w + s.length))
-        again = (_exchange.count_answers(singles, s.block, hashes, buckets)[at] > 1) & ~whole[seg]
+        again = (_exchange.count_answers(singles, s.block, s.digest, hashes, buckets)[at] > 1) & ~whole[seg]
         w, seg = w[again], seg[again]
         new = np.ones(len(w), bool)
         new[1:] = (w[1:] != w[:-1] + 1) | (seg[1:] != seg[:-1])
@@ -275,7 +283,7 @@ def _reply(length: int):
         again = repeated_offsets(order, shared, items[back].tolist(), back_shared, least, most, times, length)
         bits = np.packbits(again, axis=1) if again.shape[1] else np.zeros((len(again), 0), np.uint8)
         parts = np.split(bits, ends[:-1])
-        return pa.table({"bucket": t["bucket"], "block": t["block"], "data": pa.array([_files.pack(np.full(len(x), x.shape[1], np.uint8), x.reshape(-1)) for x in parts], pa.binary())})
+        return _exchange.replies(t, [_files.pack(np.full(len(x), x.shape[1], np.uint8), x.reshape(-1)) for x in parts])
 
     return reply
 
@@ -283,35 +291,36 @@ def _reply(length: int):
 def repeats(docs: DataFrame, length: int = LENGTH) -> str:
     """The folder with the repeated spans of each block of the rows (doc_id, text)."""
     gram = GRAM
+    if not gram <= length <= MOST:
+        raise ValueError(f"length must lie between {gram} and {MOST}, not {length}")
     buckets = _exchange.buckets_for(docs)
 
     def found(rows: tuple) -> tuple:
         number, _, data, offs = rows
         h = prefix_hash(data)
         lo, hi, anchor = segments(data, offs, h, length, gram)
-        return number, data, lo, hi, anchor, span_hash(h, anchor, anchor + gram)
+        return number, digest(data, offs), data, lo, hi, anchor, span_hash(h, anchor, anchor + gram)
 
     def ask_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, _, _, _, grams in map(found, blocks(batches)):
+        for number, own, _, _, _, _, grams in map(found, blocks(batches)):
             hashes, _, n = _distinct(grams)
-            yield _exchange.count_questions(number, hashes, n, buckets)
+            yield _exchange.count_questions(number, own, hashes, n, buckets)
 
     _, anchors = _exchange.answered(docs.mapInArrow(ask_anchors, _exchange.SCHEMA), _exchange.count_replies, "anchors")
 
     def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers = Answers(anchors)
-        for number, data, lo, hi, anchor, grams in map(found, blocks(batches)):
+        for number, own, data, lo, hi, anchor, grams in map(found, blocks(batches)):
             hashes, at, _ = _distinct(grams)
-            some = _exchange.count_answers(answers, number, hashes, buckets)[at] > 1
-            if some.any():
-                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([Suspects.packed(data, lo[some], hi[some], anchor[some], length)], pa.binary())], names=["block", "data"])
+            some = _exchange.count_answers(answers, number, own, hashes, buckets)[at] > 1
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([own]), pa.array([Suspects.packed(data, lo[some], hi[some], anchor[some], length)], pa.binary())], names=["block", "digest", "data"])
 
-    suspects = written(docs.mapInArrow(suspect, "block long, data binary"), "suspects")
+    suspects = written(docs.mapInArrow(suspect, "block long, digest long, data binary"), "suspects")
 
     def ask_wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in suspects_of(batches, length):
             hashes, _, n = _distinct(s.whole)
-            yield _exchange.count_questions(s.block, hashes, n, buckets)
+            yield _exchange.count_questions(s.block, s.digest, hashes, n, buckets)
 
     _, wholes = _exchange.answered(suspects.mapInArrow(ask_wholes, _exchange.SCHEMA), _exchange.count_replies, "segments")
 
@@ -320,7 +329,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> str:
         for s in suspects_of(batches, length):
             hashes, at, _ = _distinct(s.grams)
             others = np.bincount(at, ~s.repeated(answers, buckets), minlength=len(hashes))
-            yield _exchange.count_questions(s.block, hashes, others, buckets)
+            yield _exchange.count_questions(s.block, s.digest, hashes, others, buckets)
 
     _, mixed = _exchange.answered(suspects.mapInArrow(ask_others, _exchange.SCHEMA), _exchange.count_replies, "others")
 
@@ -329,7 +338,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> str:
         for s in suspects_of(batches, length):
             w, _, _ = s.looked_at(a, b, buckets)
             hashes, _, n = _distinct(span_hash(s.h, w, w + length))
-            yield _exchange.count_questions(s.block, hashes, n, buckets)
+            yield _exchange.count_questions(s.block, s.digest, hashes, n, buckets)
 
     _, singles = _exchange.answered(suspects.mapInArrow(ask_windows, _exchange.SCHEMA), _exchange.count_replies, "windows")
 
@@ -351,7 +360,9 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> str:
                     *front_coded([x[1] for x in part]), np.array(back, np.uint32), *front_coded([part[i][2] for i in back]),
                 ))
                 at = to
-            yield _exchange.batch(names, s.block, data)
+            if not names:
+                names, data = [0], [_files.pack(*(np.zeros(0, k) for k in _ITEM))]
+            yield _exchange.batch(names, s.block, s.digest, data)
 
     _, suffixes = _exchange.answered(suspects.mapInArrow(ask_suffixes, _exchange.SCHEMA), _reply(length), "suffixes")
 
@@ -360,8 +371,9 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> str:
         for s in suspects_of(batches, length):
             r = Runs(s, *answers, buckets)
             bits: list[np.ndarray] = []
-            for width, flat in sorted_ones.of(s.block):
-                bits += list(flat.reshape(len(width), -1))
+            for width, flat in sorted_ones.of(s.block, s.digest):
+                if len(width):
+                    bits += list(flat.reshape(len(width), -1))
             starts = [np.zeros(0, np.int64)]
             for item, own in zip(bits, r.runs, strict=True):
                 at = np.flatnonzero(np.unpackbits(item))
@@ -370,7 +382,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> str:
             # windows that overlap or touch form a span
             first = np.flatnonzero(np.concatenate([[True], np.diff(starts) > length])) if len(starts) else starts
             last = np.append(first[1:], len(starts)).astype(np.int64) - 1
-            yield _exchange.batch([0], s.block, [_files.pack(starts[first], (starts[last] if len(starts) else starts) + length)])
+            yield _exchange.batch([0], s.block, s.digest, [_files.pack(starts[first], (starts[last] if len(starts) else starts) + length)])
 
     folder = fresh_dir(docs.sparkSession, "spans")
     _exchange.deliver(suspects.mapInArrow(mark, _exchange.SCHEMA), folder)
@@ -392,8 +404,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers = Answers(folder)
         for number, rows, data, offs in blocks(batches):
-            got = answers.of(number)
-            lo, hi = got[0] if got else (np.zeros(0, np.int64),) * 2
+            lo, hi = answers.of(number, digest(data, offs))[0]
             # spans of neighbouring documents may touch
             doc = np.searchsorted(offs, lo, "right") - 1
             spans: list[list[dict]] = [[] for _ in range(rows.num_rows)]
