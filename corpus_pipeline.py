@@ -7,7 +7,9 @@ return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aerofield.llm import decontaminate, language, mixing, simhash, token_ids
 from aerofield.llm._shared import table, written
@@ -17,12 +19,12 @@ LANGUAGE_FOLD = 3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts without a letter, or without a language that makes up half of them."""
+    """Drop texts without a letter, or without a language that makes up half of them; equal texts stay or go together."""
     return language.drop_rejected(docs, language.learn(docs.where(~language.held_out(LANGUAGE_FOLD))))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest doc_id of each near-duplicate group."""
+    """Keep one row of each near-duplicate group, that of the smallest doc_id; of rows that repeat it, the first."""
     return simhash.keep_one(docs)
 
 
@@ -32,13 +34,29 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take the words of the mix: a row per document and epoch."""
+    """Take the words of the mix: a row per document and epoch, in the schedule's order.
+
+    Rows that share a doc_id are shuffled by their texts; equal rows are told apart by nothing but place.
+    """
     return mixing.mix(docs)
 
 
+def file_order(docs: DataFrame) -> list[Column] | None:
+    """What sorts rows of written files as they were written; None for rows of no files."""
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index").schema  # noqa: B018
+    except AnalysisException:
+        return None
+    name = F.col("_metadata.file_name")
+    return [F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"), name, F.col("_metadata.row_index")]
+
+
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Write token files and read back each document's place, length and checksum."""
-    return token_ids.digest(token_ids.token_files(docs))
+    """Write token files in the order of the mix, and read back each document's place, length and checksum.
+
+    Where the rows come from no files they are in the order of doc_id.
+    """
+    return token_ids.digest(token_ids.token_files(docs, order=file_order(docs)))
 
 
 STAGES = [
