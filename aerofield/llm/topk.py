@@ -16,9 +16,11 @@ SCALE = 64
 EVERY = 20
 #: Vectors of a candidate block and of a query block.
 BLOCK = 16384
-QUERY_BLOCK = 256
-#: Parts of every sorted list that are read before the bounds are looked at.
-DEPTHS = (0.5, 0.75, 1.0)
+QUERY_BLOCK = 1024
+#: Parts of every sorted list after whose reading the bounds are looked at.
+DEPTHS = (1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4, 13 / 16, 7 / 8, 15 / 16, 1.0)
+#: Reading stops when so many times k vectors can still qualify: their scores are resolved.
+LEFT = 4
 
 
 def scaled(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -62,78 +64,104 @@ def blocks(vectors: DataFrame, rows: int) -> DataFrame:
     return vectors.mapInArrow(run, "dims int, ids binary, vs binary")
 
 
-def nra(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows (query ids, vector ids, scores) of each query's k best of the vectors x, other ids only.
+class Lists:
+    """A block's vectors as one list per component of (value, vector), from the smallest value to the largest."""
 
-    Each component has a list of the vectors, sorted by it; a query reads a list from the
-    top where its own component is positive, from the bottom where it is negative.  All lists
-    are read to one depth.  A vector's score is at most what it has in the lists where it
-    was seen, plus the list's current entry elsewhere, and at least that plus the list's last
-    entry.  Reading stops when no vector outside has an upper bound that reaches the k-th best
-    lower bound; then the scores of those left are resolved, ties by smaller id.
+    def __init__(self, x: np.ndarray, ids: np.ndarray) -> None:
+        self.x, self.ids = x, ids
+        self.order = np.argsort(x, axis=0, kind="stable").astype(np.int32)
+        self.values = np.take_along_axis(x, self.order, axis=0)
+        self.largest = float(np.abs(x).max(initial=0))
+
+
+def nra(q: np.ndarray, own: int, lists: Lists, k: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """(vector ids, scores) of the k best vectors for q, best first, and the number of list entries read.
+
+    A list is read from its largest value down where q's component is positive, from its smallest up
+    where it is negative, all lists to one depth; components of zero need no list.  What was read of a
+    vector is known; elsewhere it has at least the list's last product and at most the product read last.  A vector whose
+    upper bound is below the k-th best lower bound, or below ``floor`` (the k-th best score found
+    elsewhere), can't qualify and is forgotten.  Reading stops when at most `LEFT` * k are left or the lists end; then
+    their scores are resolved, ties by smaller id.  Vectors with the id ``own`` take no part.  Numbers beyond
+    the whole ones that floats hold exactly are Python's.
     """
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, x.shape[1])
+    used = np.flatnonzero(q)
+    most = float(np.abs(q).max(initial=0)) * lists.largest * max(1, len(q))
     kind = np.float32 if most < 1 << 23 else np.float64 if most < 1 << 52 else object
-    if kind is object:  # beyond exact floats: whole lists, Python integers
-        q, x = (np.array([[int(c) for c in row] for row in m], object).reshape(m.shape) for m in (q, x))
-        yield from _resolved(q, q_ids, x, x_ids, k, [np.arange(len(x))] * len(q))
-        return
-    q, x = q.astype(kind), x.astype(kind)
-    up, down = np.maximum(q, 0), np.minimum(q, 0)
-    order = np.sort(x, axis=0)
-    least, last = order[0], order[-1]
-    own = q_ids[:, None] == x_ids[None, :]
-    left = [np.arange(len(x))] * len(q)
+    whole = (lambda v: np.array([int(c) for c in v.ravel()], object).reshape(v.shape)) if kind is object else (lambda v: v.astype(kind))
+    n, down, qs = len(lists.ids), q[used] > 0, whole(q[used])
+    alive = np.flatnonzero(lists.ids != own)
+    place = np.full(n, -1)
+    place[alive] = np.arange(len(alive))
+    known, unseen = whole(np.zeros(len(alive))), whole(np.ones((len(alive), len(used))))
+    products = lambda at: qs * whole(np.where(down, lists.values[n - 1 - at][:, used], lists.values[at][:, used]))
+    last = products(np.array([n - 1]))[0] if n else qs
+    at = read = 0
     for depth in DEPTHS:
-        n = min(len(x) - 1, int(len(x) * depth))
-        high, low = order[len(x) - 1 - n], order[n]
-        upper = up @ np.maximum(x, high).T + down @ np.minimum(x, low).T
-        lower = up @ np.where(x >= high, x, least).T + down @ np.where(x <= low, x, last).T
-        upper[own] = lower[own] = -np.inf
-        kth = np.partition(lower, len(x) - k, axis=1)[:, len(x) - k] if len(x) > k else np.full(len(q), -np.inf, kind)
-        inside = (upper >= kth[:, None]) & ~own
-        if inside.sum() <= 4 * k * len(q) or depth == DEPTHS[-1]:
-            left = [np.flatnonzero(m) for m in inside]
-            break
-    yield from _resolved(q, q_ids, x, x_ids, k, left)
-
-
-def _resolved(q, q_ids, x, x_ids, k, left):
-    for i, at in enumerate(left):
-        at = at[x_ids[at] != q_ids[i]]
-        score = np.array([int(s) for s in (x[at] @ q[i])], np.int64)
-        best = np.lexsort((x_ids[at], -score))[:k]
-        yield np.full(len(best), q_ids[i]), x_ids[at][best], score[best]
+        to = max(min(n, int(np.ceil(n * depth))), at)
+        if len(alive) <= LEFT * k or to == at:
+            continue
+        rows = np.arange(at, to)
+        got = products(rows)
+        seen = place[np.where(down, lists.order[n - 1 - rows][:, used], lists.order[rows][:, used])]
+        read, at = read + seen.size, to
+        here = seen >= 0
+        column = np.broadcast_to(np.arange(len(used)), seen.shape)[here]
+        if kind is object:
+            np.add.at(known, seen[here], got[here])
+        else:
+            known = (known + np.bincount(seen[here], got[here], len(alive))).astype(kind)
+        unseen[seen[here], column] = 0
+        upper, lower = known + unseen @ got[-1], known + unseen @ last
+        kth = sorted(lower.tolist())[-k] if kind is object else np.partition(lower, len(lower) - k)[len(lower) - k]
+        if floor is not None:
+            kth = max(kth, floor)
+        stay = upper >= kth
+        alive, known, unseen = alive[stay], known[stay], unseen[stay]
+        place[:] = -1
+        place[alive] = np.arange(len(alive))
+    score = np.array([int(v) for v in whole(lists.x[alive][:, used]) @ qs], object) if len(used) else np.zeros(len(alive), object)
+    best = np.lexsort((lists.ids[alive], [-v for v in score.tolist()]))[:k]
+    return lists.ids[alive][best], score[best].astype(np.int64), read
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer inner products of each query's vector.
 
     Both sides are (vec_id, v) as `scaled` gives them.  Query blocks meet candidate blocks by
-    a bucket key; each meeting gives k rows a query, and the best k of those stay.
-    A vector's own id is never among its results, ties go to smaller ids, and vectors of
-    different lengths count as padded with zeros.  Vectors that repeat an id are rows of
-    their own as candidates, and one query row each.
+    a bucket key; each meeting gives at most k rows a query, and the best k of those stay.  A task that
+    meets several candidate blocks with a query block carries each query's k-th best score along.
+    Vectors with the query's id are never among its results, ties go to smaller ids, and vectors of
+    different lengths count as padded with zeros.  Rows that repeat an id are rows of
+    their own as candidates, and as queries: each has its own k results.  Empty tables give no rows.
     """
     cand = written(blocks(vectors, BLOCK).withColumn("bucket", F.xxhash64("ids")), "candidates")
-    ask = written(blocks(queries, QUERY_BLOCK), "queries")
+    ask = written(blocks(queries, QUERY_BLOCK).withColumn("block", F.monotonically_increasing_id()), "queries")
     n, m = max(1, cand.count()), ask.count()
     cand = cand.withColumn("bucket", F.pmod("bucket", F.lit(n)))
-    pairs = ask.select(F.col("dims").alias("q_dims"), F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("bucket")).join(cand, "bucket").drop("bucket")
-    pairs = pairs.repartition(max(1, min(n * m, 4 * pairs.sparkSession.sparkContext.defaultParallelism)))
+    pairs = ask.select("block", F.col("dims").alias("q_dims"), F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("bucket")).join(cand, "bucket").drop("bucket")
+    pairs = pairs.repartition(max(1, min(n * m, 4 * pairs.sparkSession.sparkContext.defaultParallelism))).sortWithinPartitions("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, kept = None, {}
         for batch in batches:
-            for q_dims, q_ids, q_vs, dims, ids, vs in zip(*batch.columns, strict=True):
+            for block, q_dims, q_ids, q_vs, dims, ids, vs in zip(*batch.columns, strict=True):
+                if block.as_py() != at:
+                    at, kept = block.as_py(), {}
                 q_ids, ids = (np.frombuffer(b.as_buffer(), np.int64) for b in (q_ids, ids))
                 q, x = (np.frombuffer(b.as_buffer()).reshape(len(i), d.as_py()) for b, i, d in ((q_vs, q_ids, q_dims), (vs, ids, dims)))
                 wide = max(q.shape[1], x.shape[1])
                 q, x = (np.pad(v, ((0, 0), (0, wide - v.shape[1]))) for v in (q, x))
-                found = list(nra(q, q_ids, x, ids, k))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["query_id", "vec_id", "score"])
-
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+                lists, found = Lists(x, ids), []
+                for i, own in enumerate(q_ids.tolist()):
+                    scores = kept.get(i, [])
+                    got, score, _ = nra(q[i], own, lists, k, scores[k - 1] if len(scores) >= k else None)
+                    kept[i] = sorted([*scores, *score.tolist()], reverse=True)[:k]
+                    found.append((np.full(len(got), at), np.full(len(got), i), np.full(len(got), own), got, score))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)], names=["block", "row", "query_id", "vec_id", "score"])
+
+    best = Window.partitionBy("block", "row").orderBy(F.col("score").desc(), "vec_id")
+    found = pairs.mapInArrow(run, "block long, row long, query_id long, vec_id long, score long")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

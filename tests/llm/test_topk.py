@@ -38,14 +38,37 @@ def test_few_and_no_rows(spark):
     assert run(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 8192)]
 
 
+def test_repeated_rows_are_queries_of_their_own(spark):
+    rows = [(0, [1.0, 0.5]), (0, [1.0, 0.5]), (20, [-1.0, 0.25]), *((i, [i / 50, 1 - i / 50]) for i in range(1, 15))]
+    assert run(spark, rows) == brute(rows)
+    assert sum(r[0] == 0 for r in run(spark, rows)) == 2 * 15
+
+
+def test_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(400)]
+    assert run(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 12, 1 << 22])
 @pytest.mark.parametrize("clustered", [False, True])
-def test_reading_stops_early_only_when_it_may(clustered):
+def test_reading_stops_early_only_when_it_may(clustered, scale):
+    """All kinds of numbers; on clustered vectors fewer list entries are read than there are."""
     rng = np.random.default_rng(1)
-    x = np.floor(64 * rng.normal(0, 0.3, (3000, 16)))
+    x = np.floor(64 * rng.normal(0, 0.3, (1500, 12)))
     if clustered:
-        x[:60] = np.floor(x[:1] * 1.5 + rng.integers(-2, 3, (60, 16)))
-    ids = np.arange(len(x))
-    got = [tuple(map(np.ndarray.tolist, r)) for r in topk.nra(x[:50], ids[:50], x, ids, 20)]
-    for i, (q, v, s) in enumerate(got):
-        want = sorted((-int(c), j) for j, c in enumerate(x @ x[i]) if j != i)[:20]
-        assert set(q) == {i} and list(zip(s, v, strict=True)) == [(-c, j) for c, j in want]
+        x[:60] = np.floor(x[:1] * 3 + rng.integers(-2, 3, (60, 12)))
+    x *= scale
+    ids = rng.permutation(len(x))
+    lists, all_read = topk.Lists(x, ids), 0
+    exact = [[int(c) for c in row] for row in x]
+    for i in range(10):
+        got, score, read = topk.nra(x[i], ids[i], lists, 20)
+        want = sorted((-sum(a * b for a, b in zip(exact[i], y, strict=True)), j) for y, j in zip(exact, ids.tolist(), strict=True) if j != ids[i])[:20]
+        assert list(zip(score.tolist(), got.tolist(), strict=True)) == [(-c, j) for c, j in want]
+        all_read += read
+        # scores found elsewhere that none here reaches end the reading at once
+        assert topk.nra(x[i], ids[i], lists, 20, -want[0][0] + 1)[2] <= read
+    assert all_read < 10 * x.size * 0.9 if clustered else all_read <= 10 * x.size
