@@ -92,7 +92,10 @@ _POWERS: dict[str, np.ndarray] = {}
 
 
 def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
-    if len(_POWERS.get(name, ())) < n:
+    """Powers of ``base``; a worker keeps those for two chunks at most."""
+    if n > 2 * CHUNK_BYTES:
+        return powers(base, n)
+    if len(_POWERS.get(name, ())) < max(n, 1):
         _POWERS[name] = powers(base, max(n, CHUNK_BYTES + 1))
     return _POWERS[name][:n]
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ._shared import table, written
+from ._rows import noted, numbered
+from ._shared import fresh_name, table, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -144,24 +148,38 @@ def mix(docs: DataFrame) -> DataFrame:
     words begin, rows of one block in the order of their source's stream: partitions hold ranges of slots
     in order, and rows are sorted in them, so that sources alternate as scheduled in files written from it.
 
+    Only the rows' numbers and sizes are placed; what is taken of them is then noted on the rows, which
+    travel once.  ``docs`` must give the same rows in the same order when it is read again, as files do; else it raises.
+
     Nulls and repeated rows are as in `taken`; rows without words go, as nothing is taken of them; columns
     may have any names; an empty table gives no rows.
     """
-    one = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long"), "source", size().alias("size"), _key().alias("skey"), _order().alias("key"))
-    plan = written(targets(one.select("source", "size", "skey")), "targets")
+    sized = written(numbered(docs.select("doc_id", "source", "text")).select("row", "check", "source", size().alias("size"), _key().alias("skey"), _order().alias("key")), "sizes")
+    plan = written(targets(sized.select("source", "size", "skey")), "targets")
     if not plan.count():
         return docs
     words = plan.select("skey", F.col("block").alias("words"))
     slots = written(schedule(plan).join(words, "skey"), "schedule")
     ends = slots.groupBy("skey", "words", "epoch").count().select("skey", "words", F.struct("epoch", (F.col("count") * F.col("words")).alias("stop")).alias("end"))
     ends = ends.groupBy("skey", "words").agg(F.collect_list("end").alias("ends"))  # at most CAP epochs
-    rows = placed(one, ["row"]).join(ends, "skey").select("row", "skey", "size", "start", "words", F.explode("ends").alias("end"))
+    rows = placed(sized, ["row"]).join(ends, "skey").select("row", "skey", "size", "start", "words", F.explode("ends").alias("end"))
     rows = rows.select("row", "skey", "size", "start", F.expr("start div words").alias("block"), "end.epoch", F.least("size", F.col("end.stop") - F.col("start")).alias("kept")).where("kept > 0")
     rows = rows.join(slots.select("skey", "epoch", "block", "slot"), ["skey", "epoch", "block"])
+    takes = rows.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("slot", "start", "kept", "size"))).alias("takes"))
+    notes = sized.select("row", "check").join(takes, "row", "left")
+    kinds = [StructField(fresh_name(docs, c), LongType()) for c in ("slot", "start", "kept", "size")]
+
+    def take(b: pa.RecordBatch, t: pa.Table) -> pa.RecordBatch:
+        lists = t["takes"].combine_chunks()
+        at, each = pc.list_parent_indices(lists), lists.flatten()
+        return pa.RecordBatch.from_arrays([*b.take(at).columns, *(each.field(c) for c in ("slot", "start", "kept", "size"))], names=[*b.schema.names, *(k.name for k in kinds)])
+
+    slot, start, kept, whole = (k.name for k in kinds)
+    mixed = noted(docs, notes, take, StructType([*docs.schema.fields, *kinds]))
     parts = max(1, docs.rdd.getNumPartitions())
-    rows = rows.repartitionById(parts, F.expr(f"cast(slot * {parts} div {max(1, slots_of(plan)[1])} as int)")).sortWithinPartitions("slot", "start")
-    part = F.expr(r"case when kept = size then row.text else array_join(slice(regexp_extract_all(row.text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0), 1, cast(kept as int)), '') end")
-    return rows.withColumn("row", F.col("row").withField("text", part)).select("row.*")
+    mixed = mixed.repartitionById(parts, F.expr(f"cast(`{slot}` * {parts} div {max(1, slots_of(plan)[1])} as int)")).sortWithinPartitions(slot, start)
+    part = F.expr(rf"case when `{kept}` = `{whole}` then text else array_join(slice(regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0), 1, cast(`{kept}` as int)), '') end")
+    return mixed.withColumn("text", part).select(docs.columns)
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,23 +2,29 @@
 
 Three levels: a base over the training vocabulary and one unknown word, the restaurant of
 all words above it, and below that a restaurant for every preceding word.  Context
-restaurants share the restaurant of all words as their parent.  Seatings are drawn by Gibbs
-sampling: given the other words' tables, the number of tables of a word in a restaurant has the
-probability of the Chinese restaurant process summed over its arrangements (generalised
-Stirling numbers).  The drawn seatings' predictive probabilities are averaged.
-
-Documents are read in blocks.  A block asks for the training counts of its distinct words,
-then for the seatings of its distinct word pairs; each question goes, packed, to the task
-that has all blocks' questions about the same word or context, and the answers come back as a
-file per block in the shared folder.  A context that holds a large part of all words is
-spread over tasks by its followers.  Each of those tells how many tables its words would have
-for any number of tables of the whole context; the sum over tasks gives that number, and the
-words' tables are their expected ones, given it.
+restaurants share the restaurant of all words as their parent: each of their tables is one
+customer there.  Seatings are drawn by Gibbs sampling, and the drawn seatings' predictive
+probabilities are averaged.
+
+A restaurant of strength s and discount d with T tables gets a number x drawn from Gamma(s / d + T).
+Given x, its words' numbers of tables are independent: c customers sit at t tables with a weight of
+S(c, t) (d x p)^t, where S are generalised Stirling numbers and p is the parent's probability
+of the word.  So a context that holds a large part of all words is split over tasks by its followers without
+changing the draw: all that its parts share is x and the sum of their tables.  A sweep draws all contexts
+given the parent's probabilities, then the parent given the contexts' tables; within a sweep the
+parent's mean probabilities stand for its measure.
+
+Documents are read in blocks.  A block asks for its words' numbers, which name them from then on; then
+it hands its distinct word pairs to the contexts' buckets.  Buckets keep their pairs and tables as files in the
+shared folder, and exchange with the words' buckets, sweep by sweep, only tables by word.  At the end a
+bucket answers each block's pairs with their probabilities.  Numbers, draws and sums do not depend on how the
+documents are partitioned.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,253 +33,116 @@ from pyspark.sql import functions as F
 
 from . import _exchange, _files
 from ._exchange import Answers
-from ._shared import table
+from ._shared import fresh_dir, table, written
+from ._stirling import draw_tables
 from ._text import LOWER, SPACE, mix, prefix_hash, span_hash, text_chunks, words
 
 #: Discounts and strengths of the parent restaurant and of the context restaurants.
-PARENT_STRENGTH, DISCOUNT, STRENGTH = 1.0, 0.85, 1.0
-#: Gibbs sweeps that are passed over, and that are averaged.
-BURN_IN, KEPT = 3, 4
-#: Counts whose table numbers are drawn exactly; customers past that sit down in batches.
-EXACT = 512
+PARENT_DISCOUNT, PARENT_STRENGTH, DISCOUNT, STRENGTH = 0.7, 1.0, 0.85, 1.0
+#: Gibbs sweeps that are passed over, and that are averaged; and rounds of a whole context within one.
+BURN_IN, KEPT, ROUNDS = 3, 3, 2
 #: A context with more than this part of all training words is spread over tasks.
 HOT = 1 / 1024
 BLOCK_BYTES = 6 << 20
-END, START = np.uint64(1), np.uint64(2)
+#: Bytes of text for which there is a bucket.
+BUCKET_BYTES = 16 << 20
+#: Hashes of the end of a document, and up to which others are moved.
+END = np.uint64(1)
+#: Numbers that name no word: words not in training, as words and as contexts, and the start of a document as a context.
+UNKNOWN, NONE, START = -1, -1, -2
 FOLD = 5
+Reply = Callable[[pa.Table], pa.Table]
+#: Messages between buckets; those to no bucket (target < 0) are sums for the driver.
+MESSAGE = "source long, target long, data binary"
+
+
+def draws(*key: int) -> np.random.Generator:
+    """Random numbers that depend on the key alone."""
+    return np.random.Generator(np.random.Philox(np.random.SeedSequence([k + 16 for k in key])))
+
+
+class Base:
+    """The base over known words and the unknown one, from how many words have each training count."""
+
+    def __init__(self, counts: np.ndarray, n_words: np.ndarray) -> None:
+        self.total, self.vocabulary = int((counts * n_words).sum()), int(n_words.sum())
+        once = int(n_words[counts == 1].sum())
+        v = self.vocabulary
+        #: the unknown word's part, so that it is about as likely as a word was new in training (Good-Turing)
+        self.unknown = min(0.95, max(1 / (v + 1), once / (DISCOUNT * PARENT_DISCOUNT * v))) if v else 1.0
+        self.known = (1 - self.unknown) / max(1, v)
+
+
+class Parent:
+    """The restaurant of all words: how many customers and tables it has."""
+
+    def __init__(self, base: Base, customers: int, tables: int) -> None:
+        self.down = PARENT_STRENGTH + customers
+        new = (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / self.down
+        self.of_known, self.of_unknown = new * base.known, new * base.unknown
+
+    def probability(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Of known words with so many customers and tables here, and last of the unknown word."""
+        return np.append((customers - PARENT_DISCOUNT * tables) / self.down + self.of_known, self.of_unknown)
+
+
+def auxiliary(tables: np.ndarray, strength: float, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """The numbers x of restaurants with so many tables, given which their words are independent."""
+    return rng.standard_gamma(strength / discount + np.asarray(tables, float))
+
+
+def predictive(c: np.ndarray, t: np.ndarray, p: np.ndarray, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    """Probabilities of words with c customers at t tables, and p above, in contexts with so many of both in all."""
+    return (c - DISCOUNT * t + (STRENGTH + DISCOUNT * tables) * p) / (STRENGTH + customers)
 
 
 class Block:
-    """Documents and their tokens: per token its word's number among the block's distinct words."""
+    """Documents and their tokens: per token its word's place among the block's distinct words."""
 
     def __init__(self, keys: pa.Array, train: np.ndarray, lens: np.ndarray, hashes: np.ndarray) -> None:
         self.keys, self.train, self.lens = keys, train, lens
+        self.digest = _exchange.digest(hashes, lens, train)
         self.words, self.token = np.unique(hashes, return_inverse=True)
         self.doc = np.repeat(np.arange(len(lens)), lens)
         self.in_train = train[self.doc]
         self.counts = np.bincount(self.token[self.in_train], minlength=len(self.words))
-        first = np.cumsum(lens) - lens
-        self.before = np.empty_like(self.token)
-        self.before[1:] = self.token[:-1]
-        self.before[first] = len(self.words)  # the start of a document
+        self.first = np.cumsum(lens) - lens
 
-    def pairs(self, count: np.ndarray, total: int, buckets: int) -> Questions:
-        return Questions(self, count, total, buckets)
+    def numbered(self, answers: Answers, block: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """The words' training counts and numbers."""
+        order, _ = _exchange.by_bucket(self.words, buckets)
+        count, number = np.zeros((2, len(self.words)), np.int64)
+        got, rank = answers.joined(block, self.digest)
+        count[order], number[order] = got, rank
+        number = number * buckets + (mix(self.words) % np.uint64(buckets)).astype(np.int64)
+        return count, np.where(count > 0, number, UNKNOWN)
 
 
 class Questions:
-    """A block's distinct pairs of a known context and a known word, dealt out to buckets."""
+    """A block's distinct pairs of a context and a word, dealt out to buckets and sorted there."""
 
-    def __init__(self, block: Block, count: np.ndarray, total: int, buckets: int) -> None:
+    def __init__(self, block: Block, count: np.ndarray, number: np.ndarray, total: int, buckets: int) -> None:
         n = len(block.words)
-        known = np.append(count > 0, total > 0)
-        hot = np.append(count > total * HOT, True)
-        names = np.append(block.words, START)
-        code, self.of_token = np.unique(block.before * (n + 1) + block.token, return_inverse=True)
-        train = np.bincount(self.of_token[block.in_train], minlength=len(code))
-        u, w = code // (n + 1), code % (n + 1)
-        self.hot, self.context = hot, u
-        asked = known[u] & known[w]
-        # a context without a known follower here is asked for too: its entry has no word
-        bare = np.setdiff1d(np.unique(u[known[u] & ~hot[u]]), u[asked])
-        at = np.flatnonzero(asked)
-        self.pair = np.concatenate([at, np.full(len(bare), -1)])
-        u, w = np.concatenate([u[at], bare]), np.concatenate([w[at], np.full(len(bare), -1)])
-        follow = np.where(w >= 0, block.words[w], 0)
-        key = np.where(hot[u], mix(names[u] * np.uint64(31) + follow), mix(names[u] + np.uint64(77)))
-        self.bucket = (key % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((u, self.bucket))
-        self.pair, self.bucket, self.u = self.pair[order], self.bucket[order], u[order]
-        self.w = w = w[order]
-        self.cuts = np.concatenate([[0], np.flatnonzero(np.diff(self.bucket)) + 1, [len(w)]]) if len(w) else np.zeros(1, np.int64)
-        self.parts = []
-        #: where a bucket's questions about a context begin
-        self.heads = np.flatnonzero(np.concatenate([[True], (np.diff(self.u) != 0) | (np.diff(self.bucket) != 0)])) if len(w) else np.zeros(0, np.int64)
-        follow = follow[order]
-        many = np.where(w >= 0, train[self.pair], 0).astype(np.uint32)
-        parent = np.where(w >= 0, coded(count[w]), 0).astype(np.uint16)
-        for lo, hi in zip(self.cuts[:-1], self.cuts[1:], strict=True):
-            heads = self.heads[np.searchsorted(self.heads, lo) : np.searchsorted(self.heads, hi)] - lo
-            six = follow[lo:hi].view(np.uint8).reshape(-1, 8)[:, :6]
-            part = (names[self.u[lo:hi][heads]], np.diff(np.append(heads, hi - lo)).astype(np.uint32), hot[self.u[lo:hi][heads]].astype(np.uint8), *six.T, parent[lo:hi], many[lo:hi])
-            self.parts.append((int(self.bucket[lo]), part))
-
-    def rows(self, block: int) -> pa.RecordBatch:
-        return _exchange.batch([b for b, _ in self.parts], block, [_files.pack(*p) for _, p in self.parts])
-
-
-def coded(count: np.ndarray) -> np.ndarray:
-    """A training count in two bytes, of which packing takes the mostly empty one away: exact below 128, then in steps of an eighth of a power of two."""
-    return np.where(count < 128, count, 128 + np.rint(8 * np.log2(np.maximum(count, 128) / 128))).astype(np.uint16)
-
-
-def decoded(code: np.ndarray) -> np.ndarray:
-    return np.where(code < 128, code, 128 * 2.0 ** ((code.astype(float) - 128) / 8))
-
-
-_STIRLING: dict[float, np.ndarray] = {}
-
-
-def stirling(discount: float) -> np.ndarray:
-    """ln S[c, t]: arrangements of c customers at t tables, weighed by the discounts of the tables."""
-    if discount not in _STIRLING:
-        s = np.full((EXACT + 1, EXACT + 1), -np.inf)
-        s[0, 0] = 0.0
-        t = np.arange(1, EXACT + 1)
-        for c in range(EXACT):
-            with np.errstate(divide="ignore", invalid="ignore"):
-                stay = np.where(t <= c, np.log(np.maximum(c - discount * t, 1e-300)) + s[c, 1:], -np.inf)
-            s[c + 1, 1:] = np.logaddexp(s[c, :-1], stay)
-        _STIRLING[discount] = s
-    return _STIRLING[discount]
-
-
-def draw_tables(c: np.ndarray, parent: np.ndarray, others: np.ndarray, u: np.ndarray, discount: float, strength: float) -> np.ndarray:
-    """A number of tables for each word with c customers, given the other words' tables.
-
-    ``u`` are uniform numbers; the draw inverts the distribution function.
-    """
-    out = np.ones(len(c), np.int64)
-    logs = stirling(discount)
-    many = np.minimum(c, EXACT)
-    for n in np.unique(many[many > 1]):
-        at = np.flatnonzero(many == n)
-        t = np.arange(1, n + 1)
-        for lo in range(0, len(at), max(1, (1 << 21) // int(n))):
-            some = at[lo : lo + max(1, (1 << 21) // int(n))]
-            new = np.log(strength + discount * (others[some, None] + t - 1)) + np.log(parent[some, None])
-            p = np.cumsum(new, axis=1) + logs[n, 1 : n + 1]
-            p = np.cumsum(np.exp(p - p.max(axis=1, keepdims=True)), axis=1)
-            out[some] = 1 + (p < u[some, None] * p[:, -1:]).sum(axis=1)
-    rest = np.flatnonzero(c > EXACT)
-    if len(rest):
-        n, t, goal = np.full(len(rest), float(EXACT)), out[rest].astype(float), c[rest].astype(float)
-        while (n < goal).any():
-            more = np.minimum(goal - n, np.ceil(n / 10))
-            new = (strength + discount * (others[rest] + t)) * parent[rest]
-            t += more * new / (new + n - discount * t)
-            n += more
-        out[rest] = np.minimum(np.floor(t + u[rest]), c[rest])
-    return np.minimum(out, np.maximum(c, 1))
-
-
-def mean_tables(c: np.ndarray, parent: np.ndarray, others: np.ndarray, discount: float, strength: float) -> np.ndarray:
-    """The expectation of `draw_tables`."""
-    out = np.minimum(c, 1).astype(float)
-    logs = stirling(discount)
-    many = np.minimum(c, EXACT)
-    for n in np.unique(many[many > 1]):
-        at = np.flatnonzero(many == n)
-        t = np.arange(1, n + 1)
-        rows = max(1, (1 << 18) // int(n))
-        for some in (at[lo : lo + rows] for lo in range(0, len(at), rows)):
-            p = np.cumsum(np.log(strength + discount * (others[some, None] + t - 1)) + np.log(parent[some, None]), axis=1) + logs[n, 1 : n + 1]
-            p = np.exp(p - p.max(axis=1, keepdims=True))
-            out[some] = p @ t / p.sum(axis=1)
-    rest = np.flatnonzero(c > EXACT)
-    n, goal = np.full(len(rest), float(EXACT)), c[rest].astype(float)
-    while (n < goal).any():
-        more = np.minimum(goal - n, np.ceil(n / 10))
-        new = (strength + discount * (others[rest] + out[rest])) * parent[rest]
-        out[rest] += more * new / (new + n - discount * out[rest])
-        n += more
-    return np.minimum(out, c)
-
-
-def settled(c: np.ndarray, parent: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    """Expected tables of words with c customers in contexts with so many tables in all, their own among them."""
-    own = np.minimum(c, 1).astype(float)
-    for _ in range(3):
-        own = mean_tables(c, parent, np.maximum(tables - own, 0), DISCOUNT, STRENGTH)
-    return own
-
-
-def levels(total: int) -> np.ndarray:
-    """Numbers of tables, from one to as many as there are words, for which parts of a hot context answer."""
-    return 2.0 ** (np.arange(2 * int(total).bit_length() + 1) / 2)
-
-
-def responses(context: np.ndarray, c: np.ndarray, parent: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """Per context and level: the tables of its words here, if the whole context had that many tables."""
-    out = np.repeat(np.bincount(context, c == 1)[:, None], len(level), axis=1)
-    many = np.flatnonzero(c > 1)
-    _, one, of = np.unique(mix(c[many].astype(np.uint64) ^ mix(parent[many].view(np.uint64))), return_index=True, return_inverse=True)
-    n, one = len(one), many[one]
-    own = settled(np.repeat(c[one], len(level)), np.repeat(parent[one], len(level)), np.tile(level, n)).reshape(n, len(level))
-    for i in range(len(level)):
-        out[:, i] += np.bincount(context[many], own[of, i], minlength=len(out))
-    return out
-
-
-def all_tables(response: np.ndarray, level: np.ndarray) -> float:
-    """The number of tables at which a whole context's words have that number."""
-    if not response[0] > 0:
-        return 0.0
-    over = np.log(response / level)
-    i = min(int(np.flatnonzero(over >= 0).max(initial=0)), len(level) - 2)
-    part = over[i] / (over[i] - over[i + 1]) if over[i] != over[i + 1] else 0.0
-    return float(level[i] * (level[i + 1] / level[i]) ** min(max(part, 0.0), 1.0))
-
-
-class Parent:
-    """The restaurant of all words, from how many words have each count (which is all it depends on)."""
-
-    def __init__(self, counts: np.ndarray, n_words: np.ndarray, seed: int = 7) -> None:
-        self.total, self.vocabulary = int((counts * n_words).sum()), int(n_words.sum())
-        once, twice = (int(n_words[counts == k].sum()) for k in (1, 2))
-        self.discount = min(0.95, max(0.05, once / (once + 2 * twice) if once else 0.5))
-        self.counts, v = counts, self.vocabulary
-        new_mass = (PARENT_STRENGTH + self.discount * v) / (PARENT_STRENGTH + self.total)
-        #: the base's part for the unknown word, so that it is as likely as a word was new in training (Good-Turing)
-        self.unknown = min(0.95, max(1 / (v + 1), once / max(1, self.total) / new_mass)) if v else 1.0
-        self.known = (1 - self.unknown) / max(1, v)
-        rng, tables, sums, kept = np.random.default_rng(seed), n_words.astype(float), np.zeros(len(counts)), 0.0
-        logs = stirling(self.discount)
-        for sweep in range(BURN_IN + KEPT):
-            new = (PARENT_STRENGTH + self.discount * tables.sum()) * self.known
-            for i, (c, n) in enumerate(zip(counts.tolist(), n_words.tolist(), strict=True)):
-                m = min(c, EXACT)
-                p = logs[m, 1 : m + 1] + np.log(max(new, 1e-300)) * np.arange(1, m + 1)
-                p = np.exp(p - p.max())
-                tables[i] = (rng.multinomial(n, p / p.sum()) * np.arange(1, m + 1)).sum()
-                if c > EXACT:
-                    tables[i] += n * new * np.log(c / EXACT)
-            if sweep >= BURN_IN:
-                sums += tables
-                kept += 1
-        mean = np.minimum(sums / max(kept, 1) / np.maximum(n_words, 1), counts)
-        self.tables = float((mean * n_words).sum())
-        self.down = PARENT_STRENGTH + self.total
-        self.back_off = (PARENT_STRENGTH + self.discount * self.tables) / self.down
-        self.values = (counts - self.discount * mean) / self.down + self.back_off * self.known
-
-    def probability(self, count: np.ndarray) -> np.ndarray:
-        """Of words with these training counts (known ones exactly, others between them); 0 is the unknown word."""
-        if not len(self.counts):
-            return np.ones(len(count))
-        return np.where(count > 0, np.interp(count, self.counts, self.values), self.back_off * self.unknown)
-
-
-def seatings(name: np.ndarray, follow: np.ndarray, c: np.ndarray, parent: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(mean tables of each pair, customers and mean tables of each pair's context).
-
-    Pairs are distinct (context, word) with c training customers.  A hot context has but part of its
-    words here, so nothing is drawn for them: they sit at one table each until `settled`.
-    """
-    _, context = np.unique(name, return_inverse=True)
-    customers = np.bincount(context, c)
-    t = (c > 0).astype(float)
-    kept, key = np.zeros(len(c)), mix(name * np.uint64(31) + follow)
-    some = np.flatnonzero((c > 1) & ~hot)
-    for sweep in range(BURN_IN + KEPT):
-        if len(some):
-            others = np.bincount(context, t)[context[some]] - t[some]
-            u = (mix(key[some] + np.uint64(sweep + 1)) >> np.uint64(11)).astype(float) / (1 << 53)
-            t[some] = draw_tables(c[some], parent[some], np.maximum(others, 0), u, DISCOUNT, STRENGTH)
-        if sweep >= BURN_IN:
-            kept += t
-    kept /= KEPT
-    return kept, customers[context], np.bincount(context, kept)[context]
+        # all words not in training are one
+        word = np.where(number >= 0, np.arange(n), n)[block.token]
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        before[block.first] = n + 1
+        code, of_token = np.unique(before * (n + 2) + word, return_inverse=True)
+        train = np.bincount(of_token[block.in_train], minlength=len(code))
+        u, w = np.concatenate([number, [NONE, START]])[code // (n + 2)], np.append(number, UNKNOWN)[code % (n + 2)]
+        spread = np.concatenate([count > total * HOT, [True, True]])[code // (n + 2)]
+        bucket = np.where(spread, np.where(w >= 0, w % buckets, 0), u % buckets)
+        order = np.lexsort((w, u, bucket))
+        #: each token's place among the questions in order
+        self.of_token = np.argsort(order)[of_token]
+        u, w, spread, bucket, train = u[order], w[order], spread[order], bucket[order], train[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(w)]])
+        heads = np.flatnonzero(np.concatenate([[True], (np.diff(u) != 0) | (np.diff(bucket) != 0)]))
+        self.buckets, self.parts = bucket[cuts[:-1]].tolist(), []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            h = heads[np.searchsorted(heads, lo) : np.searchsorted(heads, hi)]
+            self.parts.append(_files.pack(u[h], np.diff(np.append(h, hi)).astype(np.uint32), spread[h].astype(np.uint8), w[lo:hi], train[lo:hi].astype(np.uint32)))
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
@@ -292,7 +161,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
         low = LOWER[data]
         starts, ends, doc = words(low, offs, SPACE)
         h = span_hash(prefix_hash(low), starts, ends)
-        h[h <= START] += np.uint64(3)
+        h[h <= END] += np.uint64(2)
         n = np.bincount(doc, minlength=rows.num_rows)
         held.append((rows.column(0), ~np.asarray(rows.column(2).to_numpy(zero_copy_only=False), bool), n + 1, np.insert(h, np.cumsum(n), END)))
         size += len(data)
@@ -300,117 +169,221 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
         yield number, out()
 
 
-def word_counts(docs: DataFrame, buckets: int) -> tuple[str, np.ndarray, np.ndarray]:
-    """Answer each block's words with their training counts; the answers' folder, the counts that occur and how many words have each."""
+def buckets_for(docs: DataFrame) -> int:
+    """A power of two, from the bytes of all texts."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(16, 1 << (size // BUCKET_BYTES).bit_length())
+
+
+def word_numbers(docs: DataFrame, buckets: int) -> tuple[str, Base]:
+    """Answer each block's words with their training counts and ranks in their bucket, by count; the answers' folder and the base."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, b in blocks(batches):
             _, parts = _exchange.by_bucket(b.words, buckets)
-            yield _exchange.batch([k for k, _ in parts], number, [_files.pack(b.words[x], b.counts[x].astype(np.uint32)) for _, x in parts])
+            yield _exchange.batch([k for k, _ in parts], number, b.digest, [_files.pack(b.words[x], b.counts[x].astype(np.uint32)) for _, x in parts])
 
     def reply(t: pa.Table) -> pa.Table:
         asked = [_files.unpack(x.as_buffer()) for x in t["data"]]
         ends = np.cumsum([len(h) for h, _ in asked])
-        _, at = np.unique(np.concatenate([h for h, _ in asked]), return_inverse=True)
+        hashes, at = np.unique(np.concatenate([h for h, _ in asked]), return_inverse=True)
         count = np.bincount(at, np.concatenate([n for _, n in asked])).astype(np.int64)
-        back = np.split(count[at].astype(np.uint64), ends[:-1])
-        counts, words_with = np.unique(count[count > 0], return_counts=True)
-        return pa.table({"bucket": t["bucket"].to_pylist() + [-1], "block": t["block"].to_pylist() + [-1], "data": pa.array([_files.pack(x) for x in back] + [_files.pack(counts, words_with)], pa.binary())})
+        rank = np.empty(len(count), np.int64)
+        rank[np.lexsort((hashes, -count))] = np.arange(len(count))
+        back = zip(np.split(count[at].astype(np.uint64), ends[:-1]), np.split(rank[at].astype(np.uint64), ends[:-1]), strict=True)
+        return _exchange.replies(t, [_files.pack(*x) for x in back], _files.pack(*np.unique(count[count > 0], return_counts=True)))
 
-    rest, folder = _exchange.answered(docs.mapInArrow(ask, _exchange.SCHEMA), reply, "word-counts")
+    rest, folder = _exchange.answered(docs.mapInArrow(ask, _exchange.SCHEMA), reply, "words")
     totals: dict[int, int] = {}
     for row in rest.select("data").toLocalIterator():
         for c, n in zip(*_files.unpack(bytes(row[0])), strict=True):
             totals[int(c)] = totals.get(int(c), 0) + int(n)
     counts = np.array(sorted(totals), np.int64)
-    return folder, counts, np.array([totals[c] for c in counts.tolist()], np.int64)
+    return folder, Base(counts, np.array([totals[c] for c in counts.tolist()], np.int64))
+
+
+def _message_table(rows: list[tuple[int, int, bytes]]) -> pa.Table:
+    source, target, data = zip(*rows, strict=True)
+    return pa.table([pa.array(source, pa.int64()), pa.array(target, pa.int64()), pa.array(data, pa.binary())], names=["source", "target", "data"])
+
+
+class Pairs:
+    """A bucket's distinct pairs, by context: customers and words; and the words, by their bucket and rank there."""
+
+    def __init__(self, folder: str, bucket: int) -> None:
+        self.folder, self.bucket = folder, bucket
+        self.context, lens, self.spread, self.c, self.word, self.words = _files.unpack(_files.get(folder, f"pairs-{bucket}"))
+        self.spread = self.spread.astype(bool)
+        self.c, self.word, self.of = self.c.astype(np.int64), self.word.astype(np.int64), np.repeat(np.arange(len(lens)), lens)
+        self.customers = np.bincount(self.of, self.c, len(lens)).astype(np.int64)
+        self.many = np.flatnonzero(self.c > 1)
+
+    @staticmethod
+    def gather(t: pa.Table, folder: str, buckets: int) -> Pairs:
+        """Put all blocks' questions to a bucket together, and keep which pairs each block asked about."""
+        bucket = t["bucket"][0].as_py()
+        asked = [_files.unpack(x.as_buffer()) for x in t["data"]]
+        u, spread = (np.concatenate([np.repeat(q[k], q[1]) for q in asked]) for k in (0, 2))
+        w, c = (np.concatenate([q[k] for q in asked]) for k in (3, 4))
+        order = np.lexsort((w, u))
+        new = np.concatenate([[True], (np.diff(u[order]) != 0) | (np.diff(w[order]) != 0)])
+        at = np.empty(len(order), np.int64)
+        at[order] = np.cumsum(new) - 1
+        c = np.bincount(at, c).astype(np.uint64)
+        u, w, spread = u[order][new], w[order][new], spread[order][new]
+        heads = np.flatnonzero(np.concatenate([[True], np.diff(u) != 0]))
+        names = np.unique(w[w >= 0])
+        sorter = np.lexsort((names // buckets, names % buckets))
+        place = np.append(np.argsort(sorter), len(names))
+        word = place[np.where(w >= 0, np.searchsorted(names, w), len(names))]
+        _files.put(folder, f"pairs-{bucket}", _files.pack(u[heads], np.diff(np.append(heads, len(u))).astype(np.uint32), spread[heads], c, word.astype(np.uint32), names[sorter]))
+        by_block = sorted(zip(t["block"].to_pylist(), t["digest"].to_pylist(), np.split(at, np.cumsum([len(q[3]) for q in asked])[:-1]), strict=True), key=lambda x: x[0])
+        _files.put(folder, f"asked-{bucket}", pickle.dumps([(b, d, _files.pack(np.diff(x, prepend=0).astype(np.uint32))) for b, d, x in by_block]))
+        return Pairs(folder, bucket)
+
+    def tables(self, state: int) -> np.ndarray:
+        """Each pair's tables; in the first state a table a word."""
+        t = np.minimum(self.c, 1)
+        if state:
+            t[self.many] = _files.unpack(_files.get(self.folder, f"tables-{self.bucket}-{state}"))[0]
+        return t
+
+    def dishes(self, t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """The words' customers and tables in the parent, from the words' buckets' answers."""
+        got = [_files.unpack(x.as_buffer()) for x in t.sort_by("source")["data"]]
+        return tuple(np.concatenate([g[k] for g in got]).astype(np.int64) for k in (0, 1))
+
+    def of_contexts(self, own: np.ndarray, shared: dict[int, float]) -> np.ndarray:
+        """A value for each context: its own, or that of all parts of one that is spread."""
+        out = np.array(own, float)
+        for i in np.flatnonzero(self.spread):
+            out[i] = shared.get(int(self.context[i]), 0.0)
+        return out
+
+    def messages(self, t: np.ndarray, buckets: int) -> pa.Table:
+        """Tables by word to the words' buckets, and those of parts of spread contexts to the driver."""
+        sums = np.bincount(self.word, t, len(self.words) + 1)[:-1].astype(np.uint64)
+        to = self.words % buckets
+        rows = [(self.bucket, int(to[x[0]]), _files.pack(np.diff(self.words[x] // buckets, prepend=0).astype(np.uint64), sums[x])) for x in np.split(np.arange(len(to)), np.flatnonzero(np.diff(to)) + 1) if len(x)]
+        if not (to == self.bucket).any():  # an answer to nothing, so that the bucket has its turn
+            rows.append((self.bucket, self.bucket, _files.pack(np.zeros(0, np.uint64), np.zeros(0, np.uint64))))
+        tables = np.bincount(self.of, t, len(self.context)).astype(np.int64)
+        rows.append((self.bucket, -1, _files.pack(self.context[self.spread], self.customers[self.spread], tables[self.spread])))
+        return _message_table(rows)
+
+
+def spread_sums(messages: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
+    """Customers and tables of the spread contexts, of which there are at most 1 / `HOT` and two."""
+    customers: dict[int, int] = {}
+    tables: dict[int, int] = {}
+    for row in messages.where("target < 0").select("data").toLocalIterator():
+        for u, c, t in zip(*(x.tolist() for x in _files.unpack(bytes(row[0]))), strict=True):
+            customers[u], tables[u] = customers.get(u, 0) + c, tables.get(u, 0) + t
+    return customers, tables
 
 
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row of (doc_id, text, held_out).
 
     Rows with held_out false are the training texts; the input must give the same rows in the
-    same order when it is read again, as files do.  Null and empty texts have the end token
+    same order when it is read again, as files do (else it raises).  Null and empty texts have the end token
     alone; without training texts every token is the unknown word, with probability 1.
     Repeated rows are rows of their own; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    buckets = 2 * _exchange.buckets_for(docs)
-    first, counts, n_words = word_counts(docs, buckets)
-    parent = Parent(counts, n_words)
-    model = spark.sparkContext.broadcast(parent)
-    total, v = parent.total, parent.vocabulary
-    level = levels(total)
-
-    def count_of(answers: Answers, number: int, b: Block) -> np.ndarray:
-        order, _ = _exchange.by_bucket(b.words, buckets)
-        out = np.zeros(len(b.words), np.int64)
-        out[order] = answers.joined(number)[0]
-        return out
+    buckets = buckets_for(docs)
+    first, base = word_numbers(docs, buckets)
+    total, v = base.total, base.vocabulary
+    folder = fresh_dir(spark, "seatings")
+    fs, at = _files.opened(folder)
+    fs.create_dir(at)
+    last = BURN_IN + KEPT
+    rounds, burn_in = ROUNDS, BURN_IN
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers = Answers(first)
         for number, b in blocks(batches):
-            yield b.pairs(count_of(answers, number, b), total, buckets).rows(number)
-
-    def seating_parent(code: np.ndarray) -> np.ndarray:
-        return np.maximum(model.value.probability(decoded(code)), 1e-300)
-
-    def reply(t: pa.Table) -> pa.Table:
-        asked = [_files.unpack(x.as_buffer()) for x in t["data"]]
-        name = np.concatenate([np.repeat(p[0], p[1]) for p in asked])
-        hot = np.concatenate([np.repeat(p[2], p[1]) for p in asked]).astype(bool)
-        six = [np.concatenate([p[k] for p in asked]) for k in range(3, 9)]
-        follow = np.column_stack([*six, np.zeros((len(name), 2), np.uint8)]).reshape(-1).view(np.uint64)
-        code, n = np.concatenate([p[9] for p in asked]), np.concatenate([p[10] for p in asked])
-        _, head, at = np.unique(mix(name * np.uint64(31) + follow), return_index=True, return_inverse=True)
-        c = np.bincount(at, n).astype(np.int64)
-        name, hot, p = name[head], hot[head], seating_parent(code[head])
-        tables, customers, whole = seatings(name, follow[head], c, p, hot)
-        # of a hot context's words, their customers: their tables follow from those of all parts
-        worth = np.where(c > 0, np.where(hot, c, c - DISCOUNT * tables), 0.0).astype(np.float32)[at]
-        full = np.column_stack([customers, whole]).astype(np.float32)
-        ends = np.cumsum([len(p[9]) for p in asked])
-        # a value for each pair, and two for each context
-        firsts = [full[x[np.cumsum(p[1]) - p[1]]] for x, p in zip(np.split(at, ends[:-1]), asked, strict=True)]
-        back = [_files.pack(w, f[:, 0].copy(), f[:, 1].copy()) for w, f in zip(np.split(worth, ends[:-1]), firsts, strict=True)]
-        # parts of hot contexts, to be added up
-        names, i, context = np.unique(name[hot], return_index=True, return_inverse=True)
-        part = _files.pack(names, customers[hot][i], *responses(context, c[hot], p[hot], level).T.astype(np.float32))
-        return pa.table({"bucket": t["bucket"].to_pylist() + [-1], "block": t["block"].to_pylist() + [-1], "data": pa.array([*back, part], pa.binary())})
-
-    rest, second = _exchange.answered(docs.mapInArrow(ask, _exchange.SCHEMA), reply, "seatings")
-    hot: dict[int, np.ndarray] = {}  # at most 1 / HOT contexts and the start
-    for row in rest.select("data").toLocalIterator():
-        for name, *parts in zip(*_files.unpack(bytes(row[0])), strict=True):
-            hot[int(name)] = hot.get(int(name), 0) + np.array(parts, float)
-    shared_hot = spark.sparkContext.broadcast({name: (x[0], all_tables(x[1:], level)) for name, x in hot.items()})
+            q = Questions(b, *b.numbered(answers, number, buckets), total, buckets)
+            yield _exchange.batch(q.buckets, number, b.digest, q.parts)
+
+    def gather(t: pa.Table) -> pa.Table:
+        pairs = Pairs.gather(t, folder, buckets)
+        return pairs.messages(pairs.tables(0), buckets)
+
+    messages = written(docs.mapInArrow(ask, _exchange.SCHEMA).groupBy("bucket").applyInArrow(gather, MESSAGE), "tables")
+    customers, spread = spread_sums(messages)
+
+    def parent_tables(k: int, x0: float) -> Reply:
+        def run(t: pa.Table) -> pa.Table:
+            got = [(i, *_files.unpack(x.as_buffer())) for i, x in zip(t["source"].to_pylist(), t["data"], strict=True)]
+            bucket, ends = t["target"][0].as_py(), np.cumsum([len(r) for _, r, _ in got])
+            _, at = np.unique(np.concatenate([np.cumsum(r) for _, r, _ in got]), return_inverse=True)
+            c = np.bincount(at, np.concatenate([n for _, _, n in got])).astype(np.int64)
+            tables = draw_tables(c, np.full(len(c), x0 * base.known), draws(k, 1, bucket).random(len(c)), PARENT_DISCOUNT)
+            rows = [(bucket, i, _files.pack(c[x].astype(np.uint64), tables[x].astype(np.uint64))) for (i, _, _), x in zip(got, np.split(at, ends[:-1]), strict=True)]
+            return _message_table([*rows, (bucket, -1, _files.pack(np.array([c.sum()]), np.array([tables.sum()])))])
+
+        return run
+
+    def context_tables(k: int, parent: Parent, x_spread: dict[int, float]) -> Reply:
+        def run(t: pa.Table) -> pa.Table:
+            pairs = Pairs(folder, t["target"][0].as_py())
+            served = pairs.dishes(t)
+            if k > burn_in:
+                _files.put(folder, f"dishes-{pairs.bucket}-{k}", _files.pack(*(x.astype(np.uint64) for x in served)))
+            p, tables, rng = parent.probability(*served), pairs.tables(k), draws(k, 3, pairs.bucket)
+            some = pairs.many
+            for _ in range(rounds):
+                x = auxiliary(np.bincount(pairs.of, tables, len(pairs.context)), STRENGTH, DISCOUNT, rng)
+                x = pairs.of_contexts(x, x_spread)
+                tables[some] = draw_tables(pairs.c[some], x[pairs.of[some]] * p[pairs.word[some]], rng.random(len(some)), DISCOUNT)
+                some = some[~pairs.spread[pairs.of[some]]]
+            _files.put(folder, f"tables-{pairs.bucket}-{k + 1}", _files.pack(tables[pairs.many].astype(np.uint64)))
+            return pairs.messages(tables, buckets)
+
+        return run
+
+    parents: list[Parent] = []
+    spread_tables, tables_above = [spread], v
+    for k in range(last + 1):
+        x0 = float(auxiliary(np.array([tables_above]), PARENT_STRENGTH, PARENT_DISCOUNT, draws(k, 0))[0])
+        dishes = written(messages.where("target >= 0").groupBy("target").applyInArrow(parent_tables(k, x0), MESSAGE), "dishes")
+        sums = [_files.unpack(bytes(r[0])) for r in dishes.where("target < 0").select("data").toLocalIterator()]
+        tables_above = int(sum(t[0] for _, t in sums))
+        parents.append(Parent(base, int(sum(c[0] for c, _ in sums)), tables_above))
+        if k < last:
+            x_spread = {u: float(auxiliary(np.array([n]), STRENGTH, DISCOUNT, draws(k, 2, u))[0]) for u, n in spread_tables[k].items()}
+            messages = written(dishes.where("target >= 0").groupBy("target").applyInArrow(context_tables(k, parents[k], x_spread), MESSAGE), "tables")
+            spread_tables.append(spread_sums(messages)[1])
+
+    def answer(t: pa.Table) -> pa.Table:
+        pairs = Pairs(folder, t["target"][0].as_py())
+        in_all = pairs.of_contexts(pairs.customers, customers)[pairs.of]
+        p = np.zeros(len(pairs.c))
+        for k in range(burn_in + 1, last + 1):
+            served = pairs.dishes(t) if k == last else _files.unpack(_files.get(folder, f"dishes-{pairs.bucket}-{k}"))
+            tables = pairs.tables(k)
+            whole = pairs.of_contexts(np.bincount(pairs.of, tables, len(pairs.context)), spread_tables[k])
+            p += predictive(pairs.c, tables, parents[k].probability(*(x.astype(np.int64) for x in served))[pairs.word], in_all, whole[pairs.of])
+        p = (p / (last - burn_in)).astype(np.float32)
+        asked = pickle.loads(_files.get(folder, f"asked-{pairs.bucket}"))
+        data = [_files.pack(p[np.cumsum(_files.unpack(x)[0].astype(np.int64))]) for _, _, x in asked]
+        n = len(asked)
+        return pa.table([pa.array([pairs.bucket] * n, pa.int64()), pa.array([b for b, _, _ in asked], pa.int64()), pa.array([d for _, d, _ in asked], pa.int64()), pa.array(data, pa.binary())], names=["bucket", "block", "digest", "data"])
+
+    scores = fresh_dir(spark, "probabilities")
+    _exchange.deliver(dishes.where("target >= 0").groupBy("target").applyInArrow(answer, _exchange.SCHEMA), scores)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counted, seated = Answers(first), Answers(second)
+        counted, seated = Answers(first), Answers(scores)
         for number, b in blocks(batches):
-            count = count_of(counted, number, b)
-            q = b.pairs(count, total, buckets)
-            p = model.value.probability(count)[b.token]
-            worth = np.zeros(len(q.context))
-            customers, tables = np.zeros((2, len(b.words) + 1))
-            if len(q.u):
-                w, cu, tu = seated.joined(number)
-                customers[q.u[q.heads]], tables[q.u[q.heads]] = cu, tu
-            for i in np.flatnonzero(q.hot):
-                customers[i], tables[i] = shared_hot.value.get(int(b.words[i] if i < len(b.words) else START), (0.0, 0.0))
-            if len(q.u):
-                at = np.flatnonzero(q.hot[q.u] & (w > 0))
-                c, code = w[at].astype(np.int64), coded(count[q.w[at]])
-                _, one, of = np.unique(mix(mix(q.u[at].astype(np.uint64) << np.uint64(16) | code) + c.astype(np.uint64)), return_index=True, return_inverse=True)
-                w[at] = c - DISCOUNT * settled(c[one], seating_parent(code[one]), tables[q.u[at[one]]])[of]
-                worth[q.pair[q.pair >= 0]] = w[q.pair >= 0]
-            cu, tu = customers[b.before], tables[b.before]
-            full = np.where(cu > 0, (worth[q.of_token] + (STRENGTH + DISCOUNT * tu) * p) / (STRENGTH + cu), p)
+            count, numbers = b.numbered(counted, number, buckets)
+            q = Questions(b, count, numbers, total, buckets)
+            (p,) = seated.joined(number, b.digest)
             add = lambda x: np.bincount(b.doc, x, minlength=len(b.lens))
-            base = np.log10((count[b.token] + 0.5) / (total + 0.5 * (v + 1)))
+            base_score = np.log10((count[b.token] + 0.5) / (total + 0.5 * (v + 1)))
             yield pa.RecordBatch.from_arrays(
-                [b.keys, pa.array(~b.train), pa.array(b.lens), pa.array(add(count[b.token] > 0).astype(np.int64)), pa.array(np.full(len(b.lens), total)), pa.array(add(base)), pa.array(add(np.log10(full)))],
+                [b.keys, pa.array(~b.train), pa.array(b.lens), pa.array(add(count[b.token] > 0).astype(np.int64)), pa.array(np.full(len(b.lens), total)), pa.array(add(base_score)), pa.array(add(np.log10(p.astype(float))[q.of_token]))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 

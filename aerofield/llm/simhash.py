@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ._components import components
-from ._shared import fresh_name, table, written
+from ._rows import noted, numbered
+from ._shared import table, written
 from ._text import release
 
 SHINGLE_WORDS = 3
@@ -261,17 +262,19 @@ def near_groups(docs: DataFrame, budget: int = MAX_BITS) -> DataFrame:
 def keep_one(docs: DataFrame, budget: int = MAX_BITS) -> DataFrame:
     """One row of each near-duplicate group, with all its columns: that of the smallest doc_id.
 
-    Rows are told apart by their place in a written copy of ``docs``, not by doc_id: of rows that
-    share their group's smallest doc_id the first there stays, and a row whose doc_id
-    repeats in another group stays as that group's.  A row without a doc_id stays only if
-    its group has no doc_id.  An empty table gives no rows.
+    Rows are told apart by their place in ``docs``, not by doc_id: of rows that share their group's
+    smallest doc_id the first there stays, and a row whose doc_id repeats in another group
+    stays as that group's.  A row without a doc_id stays only if its group has no doc_id.  ``docs`` must give
+    the same rows in the same order when it is read again, as files do; else it raises.  An
+    empty table gives no rows.
     """
-    fp, row = fresh_name(docs, "fp"), fresh_name(docs, "row")
-    rows = written(fingerprints(docs, docs.columns, fp).withColumn(row, F.monotonically_increasing_id()), "rows")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"))).alias("first")
-    distinct = written(rows.groupBy(F.col(fp).alias("fp")).agg(first), "distinct")
-    stay = classes(distinct, budget).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
-    return rows.join(written(stay, "kept"), row, "left_semi").select(docs.columns)
+    own = numbered(docs.select(F.col("doc_id").cast("long"), "text"))
+    rows = written(fingerprints(own, ["row", "check", "doc_id"]), "rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
+    named = classes(written(rows.groupBy("fp").agg(first), "distinct"), budget)
+    stay = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"), F.lit(True).alias("stays"))
+    notes = rows.select("row", "check").join(stay, "row", "left").select("row", "check", F.col("stays").isNotNull().alias("stays"))
+    return noted(docs, notes, lambda b, t: b.filter(t["stays"].combine_chunks()), docs.schema)
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
