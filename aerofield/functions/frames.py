@@ -141,6 +141,58 @@ def azimuthal_equidistant(lat0: float, lon0: float):
     return project
 
 
+def geodesic_end(lat1: np.ndarray, lon1: np.ndarray, azimuth: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where one gets to on the WGS84 ellipsoid by a distance in a direction, by Vincenty's direct iteration."""
+    f = FLATTENING_WGS84
+    b = EARTH_RADIUS * (1 - f)
+    u1 = np.arctan((1 - f) * np.tan(np.radians(lat1)))
+    sigma1 = np.arctan2(np.tan(u1), np.cos(azimuth))
+    sa = np.cos(u1) * np.sin(azimuth)
+    c2 = 1 - sa**2
+    k = c2 * (EARTH_RADIUS**2 - b**2) / b**2
+    big_a = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
+    big_b = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
+    sigma = s / (b * big_a)
+    for _ in range(60):
+        cm, ss, cs = np.cos(2 * sigma1 + sigma), np.sin(sigma), np.cos(sigma)
+        new = s / (b * big_a) + big_b * ss * (cm + big_b / 4 * (cs * (2 * cm**2 - 1) - big_b / 6 * cm * (4 * ss**2 - 3) * (4 * cm**2 - 3)))
+        done = np.all(np.abs(new - sigma) < 1e-14)
+        sigma = new
+        if done:
+            break
+    cm, ss, cs = np.cos(2 * sigma1 + sigma), np.sin(sigma), np.cos(sigma)
+    tmp = np.sin(u1) * ss - np.cos(u1) * cs * np.cos(azimuth)
+    lat = np.arctan2(np.sin(u1) * cs + np.cos(u1) * ss * np.cos(azimuth), (1 - f) * np.hypot(sa, tmp))
+    lam = np.arctan2(ss * np.sin(azimuth), np.cos(u1) * cs - np.sin(u1) * ss * np.cos(azimuth))
+    c = f / 16 * c2 * (4 + f * (4 - 3 * c2))
+    return np.degrees(lat), lon1 + np.degrees(lam - (1 - c) * f * sa * (sigma + c * ss * (cm + c * cs * (2 * cm**2 - 1))))
+
+
+def azimuthal_equidistant_inverse(lat0: float, lon0: float):
+    """A column function (x, y) -> struct<lon, lat> from the local equidistant map."""
+
+    @F.pandas_udf("lon double, lat double")
+    def project(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for x, y in parts:
+            x, y = x.to_numpy(float), y.to_numpy(float)
+            lat, lon = geodesic_end(np.full(len(x), lat0), np.full(len(x), lon0), np.arctan2(x, y), np.hypot(x, y))
+            yield pd.DataFrame({"lon": lon, "lat": lat})
+
+    return project
+
+
+#: Map projections by their codes.
+PROJECTIONS = {"EPSG:3857": WebMercator, "EPSG:6677": TransverseMercator}
+
+
+def projection(code: str) -> Projection:
+    """The projection of a code such as "EPSG:6677"; an unknown one raises."""
+    key = f"EPSG:{code}".upper().replace("EPSG:EPSG:", "EPSG:")
+    if key not in PROJECTIONS:
+        raise ValueError(f"no projection for {code}: there are {', '.join(PROJECTIONS)}")
+    return PROJECTIONS[key]()
+
+
 def enu_to_lonlat(x: Column, y: Column, lat0: float, lon0: float, dx: float = 0.0, dy: float = 0.0, projection: Projection | None = None) -> tuple[Column, Column]:
     """Metres east and north of an origin, plus an offset, as (lon, lat)."""
     p = projection or WebMercator()

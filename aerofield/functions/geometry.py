@@ -97,8 +97,11 @@ def _hulls(rings: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def convex_hull(ring: str | Column) -> Column:
-    """The hull of each ring, in Arrow batches: a sort and a stack, which no built-in expresses."""
-    return F.pandas_udf(_hulls, RING)(ring)
+    """The hull of each ring, in Arrow batches: a sort and a stack, which no built-in expresses.
+
+    It is marked so that the optimiser neither repeats it nor moves it into filters.
+    """
+    return F.pandas_udf(_hulls, RING).asNondeterministic()(ring)
 
 
 def min_area_box(hull: str, compat: bool = False) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..functions.frames import TransverseMercator, boxes_touch_lonlat, mesh_box
+from ..functions.frames import TransverseMercator, boxes_touch_lonlat, enu_to_mjcf, mesh_box
 from ..functions.wind import compact
 
 # Fixed value: the name pattern of city model files.
@@ -29,6 +31,20 @@ def in_query_box(index: DataFrame, box: Column) -> DataFrame:
     return index.withColumn("_m", mesh_box(F.col("mesh"))).where(boxes_touch_lonlat(F.col("_m"), box)).drop("_m")
 
 
+def in_query_boxes(index: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Pairs of index rows and ``boxes`` rows (with ``box``) that touch, for many boxes at once.
+
+    Both sides meet by the large mesh cell (4 digits) that holds a mesh and that a box reaches, so it is an equi-join.
+    """
+    b, floor = F.col("box"), lambda c: F.floor(c).cast("long")
+    rows = F.sequence(floor(b["min_lat"] * 1.5) - 1, floor(b["max_lat"] * 1.5) + 1)
+    cols = F.sequence(floor(b["min_lon"]) - 101, floor(b["max_lon"]) - 99)
+    right = boxes.withColumn("_row", F.explode(rows)).withColumn("_col", F.explode(cols))
+    part = lambda at: F.try_to_number(F.substring("mesh", at, 2), F.lit("99")).cast("long")
+    left = index.withColumn("_m", mesh_box(F.col("mesh"))).where("_m is not null").withColumn("_row", part(1)).withColumn("_col", part(3))
+    return left.join(right, ["_row", "_col"]).where(boxes_touch_lonlat(F.col("_m"), b)).drop("_row", "_col", "_m")
+
+
 def with_companions(selected: DataFrame, files: DataFrame) -> DataFrame:
     """(path, companion): other files of the same folder whose names start with mesh_kind."""
     split = lambda c: (F.regexp_extract(c, r"^(.*)/[^/]*$", 1), F.element_at(F.split(c, "/"), -1))
@@ -49,8 +65,8 @@ def pos_list(text: Column) -> Column:
 
 def base_points(points: str, eps: float = 0.2, least: int = 3) -> Column:
     """The points within ``eps`` of the lowest, or all if those are fewer than ``least``."""
-    low = f"filter({points}, _p -> abs(_p.z - array_min(transform({points}, _q -> _q.z))) <= {eps}D)"
-    return F.expr(f"case when size({low}) < {least} then {points} else {low} end")
+    low = f"transform(array(array_min(transform({points}, _q -> _q.z))), _m -> filter({points}, _p -> abs(_p.z - _m) <= {eps}D))[0]"
+    return F.expr(f"transform(array({low}), _l -> case when size(_l) < {least} then {points} else _l end)[0]")
 
 
 def footprints(buildings: DataFrame, origin: tuple[float, float] | None = None, ns_m: float | None = None, ew_m: float | None = None, projection: TransverseMercator | None = None, eps: float = 0.2) -> DataFrame:
@@ -62,12 +78,13 @@ def footprints(buildings: DataFrame, origin: tuple[float, float] | None = None,
     """
     p = projection or TransverseMercator()
     z = lambda f: f(F.transform("points", lambda q: q["z"]))
-    df = buildings.where("size(points) > 0").select("id", "source_gml", z(F.array_min).alias("zmin"), z(F.array_max).alias("zmax"), F.posexplode(base_points("points", eps)).alias("i", "q"))
-    x, y = p.forward(F.col("q.lon"), F.col("q.lat"))
-    if origin:
-        x0, y0 = p.forward(F.lit(origin[1]), F.lit(origin[0]))
-        x, y = x - x0, y - y0
-    df = df.withColumn("v", F.struct(x.alias("x"), y.alias("y"))).groupBy("source_gml", "id", "zmin", "zmax").agg(F.collect_list("v").alias("ring"))
+    x0, y0 = p.forward(F.lit(origin[1]), F.lit(origin[0])) if origin else (F.lit(0.0), F.lit(0.0))
+
+    def relative(q: Column) -> Column:
+        x, y = p.forward(q["lon"], q["lat"])
+        return F.struct((x - x0).alias("x"), (y - y0).alias("y"))
+
+    df = buildings.where("size(points) > 0").select("id", "source_gml", z(F.array_min).alias("zmin"), z(F.array_max).alias("zmax"), F.explode(F.array(F.transform(base_points("points", eps), relative))).alias("ring"))  # one row each: the hull's function wants a column
     df = df.withColumn("vertices", G.convex_hull("ring")).where("size(vertices) >= 3")
     if origin and (ns_m is not None or ew_m is not None):
         m = G.ring_mean("vertices")
@@ -104,8 +121,12 @@ def box_records(polygons: DataFrame, threshold: float | None = None, thickness:
 
 
 def with_heights(records: DataFrame, heights: DataFrame, on: str = "id") -> DataFrame:
-    """``records`` with zmin and zmax of ``heights`` (id, zmin, zmax, height) of the same id; its height only where no z is known."""
-    h = heights.groupBy(F.col("id").alias("_id")).agg(F.last(F.struct("zmin", "zmax", "height")).alias("_h"))
+    """``records`` with zmin and zmax of ``heights`` (id, zmin, zmax, height) of the same id; its height only where no z is known.
+
+    Of heights that repeat an id the last by ``ord`` counts, or, without that column, the largest.
+    """
+    found = F.struct("zmin", "zmax", "height")
+    h = heights.groupBy(F.col("id").alias("_id")).agg(F.max_by(found, F.col("ord") if "ord" in heights.columns else found).alias("_h"))
     df = records.join(h, F.col(on) == F.col("_id"), "left")
     both = F.col("_h.zmin").isNotNull() & F.col("_h.zmax").isNotNull()
     own = F.col("zmin").isNull() & F.col("zmax").isNull()
@@ -118,23 +139,27 @@ def grounded(records: DataFrame, zmin: float = 0.0) -> DataFrame:
     return records.withColumn("zmin", F.col("zmin") - low).withColumn("zmax", F.col("zmax") - low)
 
 
-def geoms(records: DataFrame, height: float = 5.0, zmin: float = 0.0, collide: str = "all", density: float | None = None, rgba: tuple = (0.82, 0.82, 0.86, 1.0), enu: bool = True) -> DataFrame:
+def geoms(records: DataFrame, height: float = 5.0, zmin: float = 0.0, collide: str = "all", density: float | None = None, rgba: tuple = (0.82, 0.82, 0.86, 1.0), enu: bool = True, pos_fn: Callable | None = None, yaw_fn: Callable | None = None, sxy_fn: Callable | None = None) -> DataFrame:
     """Attributes of a simulator's box for each record, as text.
 
     The height is the record's own, or zmax - zmin, or ``height``; east-north becomes
-    north-(minus east) and half sizes change places.
+    north-(minus east) and half sizes change places.  Other rules from columns to columns may be given for the
+    place (x, y, z), the turn in degrees and the half sizes (x, y).
     """
     own, both = F.col("height").isNotNull(), F.col("zmin").isNotNull() & F.col("zmax").isNotNull()
     base = F.when(own | both, F.coalesce("zmin", F.lit(zmin))).otherwise(zmin)
     tall = F.when(own, F.col("height")).when(both, F.col("zmax") - F.col("zmin")).otherwise(height)
     cx, cy, sx, sy = F.col("center")[0], F.col("center")[1], F.col("half_size")[0], F.col("half_size")[1]
-    if enu:
-        cx, cy, sx, sy = cy, -cx, sy, sx
+    cz = base + tall * 0.5
+    turned = enu_to_mjcf(cx, cy, cz)
+    cx, cy, cz = pos_fn(cx, cy, cz) if pos_fn else (turned["x"], turned["y"], turned["z"]) if enu else (cx, cy, cz)
+    sx, sy = sxy_fn(sx, sy) if sxy_fn else (sy, sx) if enu else (sx, sy)
+    yaw = yaw_fn(F.col("yaw_rad")) if yaw_fn else F.degrees("yaw_rad") if enu else F.col("yaw_rad")
     join = lambda *c: F.concat_ws(" ", *(compact(x + 0.0) for x in c))
     con = {"all": ("1", "0"), "drone": ("1", "2"), "none": ("0", "0")}[collide]
     return records.select(
         "id", F.concat(F.lit("geom_"), "id").alias("name"), F.lit("box").alias("type"), join(sx, sy, tall * 0.5).alias("size"),
-        join(cx, cy, base + tall * 0.5).alias("pos"), F.concat(F.lit("0 0 "), compact((F.degrees("yaw_rad") if enu else F.col("yaw_rad")) + 0.0)).alias("euler"),
+        join(cx, cy, cz).alias("pos"), F.concat(F.lit("0 0 "), compact(yaw + 0.0)).alias("euler"),
         F.lit(" ".join(f"{v:g}" for v in rgba)).alias("rgba"), F.lit(con[0]).alias("contype"), F.lit(con[1]).alias("conaffinity"),
         F.lit(None if density is None else f"{density:g}").cast("string").alias("density"),
     )

@@ -148,7 +148,8 @@ def fold_zones(areas: DataFrame, zones: list[dict], order: str = "priority_desc"
     """Apply all zones that contain a cell's centre, in order, to its ``properties``.
 
     Zones are part of a small authored model, so each is one projection: no join and no shuffle.
-    ``at`` is the time in seconds for zones with an ``active`` range; without it they always act.
+    ``at`` is the time in seconds for zones with an ``active`` range or periodic ``time_mods``; without it they
+    always act and nothing changes with time.
     """
     df = areas
     for z in in_order(zones, order):
@@ -160,8 +161,11 @@ def fold_zones(areas: DataFrame, zones: list[dict], order: str = "priority_desc"
         wind = [F.element_at("properties.wind_velocity", i) for i in (1, 2, 3)]
         effect = EFFECTS.get(z["effect"]["mode"], lambda w, *_: w)
         new = effect(wind, x, y, F.concat(F.lit(z["name"] + "|"), "area_id"), z["effect"])
+        gps = gps_after(F.col("properties.gps_strength"), z["effect"])
+        if at is not None and z.get("time_mods"):
+            new, gps = with_time(new, gps, z["time_mods"], at)
         p = F.col("properties")
-        p = p.withField("wind_velocity", F.array(*new)).withField("gps_strength", gps_after(F.col("properties.gps_strength"), z["effect"]))
+        p = p.withField("wind_velocity", F.array(*new)).withField("gps_strength", gps)
         df = df.withColumn("properties", F.when(hit, p).otherwise(F.col("properties")))
     return df
 
@@ -174,10 +178,22 @@ def periodic(terms: list[dict], t: Column) -> Column:
     return total
 
 
+def with_time(wind: list[Column], gps: Column, mods: dict, t: Column) -> tuple[list[Column], Column]:
+    """Add a zone's periodic terms at time t to what ``apply_to`` names: wind_x, wind_y, wind_z, gps (an extension; without it, the wind's x and y)."""
+    wave, to = periodic(mods.get("periodic") or [], t), mods.get("apply_to") or ["wind_x", "wind_y"]
+    wind = [w + wave if f"wind_{k}" in to else w for k, w in zip("xyz", wind, strict=True)]
+    return wind, F.greatest(F.lit(0.0), F.least(F.lit(1.0), gps + wave)) if "gps" in to else gps
+
+
 def build(spark: SparkSession, model: dict, with_zones: bool = True, lenient: bool = False, order: str = "priority_desc") -> tuple[DataFrame, DataFrame, DataFrame]:
     """The area, property and link tables of a model."""
     areas = cells(spark, Grid.of(model["grid"], lenient)).withColumn("properties", base_property(model["base"]))
     if with_zones:
         areas = fold_zones(areas, model.get("zones") or [], order)
-    pid = F.concat(F.lit("prop_"), "area_id")
+    pid = property_id()
     return areas.select("ord", "area_id", "bounds"), areas.select("ord", pid.alias("id"), "properties"), areas.select("ord", "area_id", pid.alias("area_property_id"))
+
+
+def property_id() -> Column:
+    """The id of a cell's own property."""
+    return F.concat(F.lit("prop_"), "area_id")

@@ -50,7 +50,63 @@ def exported(zones: DataFrame) -> DataFrame:
     return zones.select("zone.name", F.to_json("zone").alias("json"))
 
 
-def imported(documents: DataFrame) -> DataFrame:
-    """(ord, zone) of model documents (column ``json``): nothing is lost on the way back."""
-    parsed = documents.select(F.from_json("json", f"zones array<{ZONE}>").alias("m"))
-    return parsed.select(F.posexplode("m.zones").alias("ord", "zone"))
+def imported(documents: DataFrame, to_enu: bool = False) -> DataFrame:
+    """(ord, zone) of model documents (column ``json``): nothing is lost on the way back.
+
+    With ``to_enu``, places and vectors of models in the robots' frame (meta.axis "ROS") are turned to east and north.
+    """
+    parsed = documents.select(F.from_json("json", f"meta struct<axis: string>, zones array<{ZONE}>").alias("m"))
+    df = parsed.select(F.upper("m.meta.axis").alias("axis"), F.posexplode("m.zones").alias("ord", "zone"))
+    if to_enu:
+        df = df.withColumn("zone", F.when(F.col("axis") == "ROS", _to_enu(F.col("zone"))).otherwise(F.col("zone")))
+    return df.select("ord", "zone")
+
+
+def _turned(v: Column) -> Column:
+    """A place or vector of two or three numbers, null for null."""
+    third = F.when(F.size(v) > 2, F.slice(v, 3, 1)).otherwise(F.array().cast("array<double>"))
+    e = ros_to_enu(v[0], v[1], F.lit(0.0))
+    return F.when(v.isNotNull(), F.concat(F.array(e["x"] + 0.0, e["y"] + 0.0), third))
+
+
+def _to_enu(zone: Column) -> Column:
+    r, c, e = zone["shape"]["rect"], zone["shape"]["circle"], zone["effect"]
+    low, high = _turned(r["min_m"]), _turned(r["max_m"])
+    size = F.when(r["size_m"].isNotNull(), F.array(r["size_m"][1], r["size_m"][0]))
+    # a rectangle from its least corner and sides: its eastern corner is the western one, turned
+    start = F.when(size.isNotNull() & low.isNotNull(), F.array(low[0] - size[0], low[1]))
+    corner = lambda f: F.when(low.isNotNull() & high.isNotNull(), F.array(f(low[0], high[0]), f(low[1], high[1])))
+    rect = r.withField("min_m", F.coalesce(corner(F.least), start)).withField("max_m", corner(F.greatest)).withField("center_m", _turned(r["center_m"])).withField("size_m", size)
+    shape = zone["shape"].withField("rect", F.when(r.isNotNull(), rect)).withField("circle", F.when(c.isNotNull(), c.withField("center_m", _turned(c["center_m"]))))
+    v = e["vortex"]
+    effect = e.withField("wind_ms", _turned(e["wind_ms"])).withField("add_ms", _turned(e["add_ms"])).withField("vortex", F.when(v.isNotNull(), v.withField("center_m", _turned(v["center_m"]))))
+    return zone.withField("shape", shape).withField("effect", effect)
+
+
+def settings(documents: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """(low, high, cell, levels, wind, temperature, pressure, gps): the editor's grid and base of model documents, with its defaults; columns ``keep`` stay."""
+    from ..sources.readers import models
+
+    m = models(documents)
+    # fixed values: the editor's defaults
+    three = lambda c, d: F.array(*(F.coalesce(F.get(c, F.lit(i)), F.lit(x)) for i, x in enumerate(d)))
+    return m.select(
+        *keep, three(F.col("grid.min"), (-1000.0, -1000.0, 0.0)).alias("low"), three(F.col("grid.max"), (1000.0, 1000.0, 100.0)).alias("high"),
+        three(F.col("grid.cell_m"), (100.0, 100.0, 100.0)).alias("cell"), F.coalesce("grid.levels", F.lit(1)).alias("levels"),
+        three(F.col("base.wind.vector_ms"), (4.0, 0.0, 0.0)).alias("wind"), F.coalesce("base.temperature_C", F.lit(20.0)).alias("temperature"),
+        F.coalesce("base.pressure_atm", F.lit(1.0)).alias("pressure"), F.coalesce("base.gps_strength", F.lit(1.0)).alias("gps"),
+    )
+
+
+def styled(zones: DataFrame) -> DataFrame:
+    """(name, priority, mode, kind, colour, weight, fill, gps, wind, std, seed): how a read-only map draws zones of known shape."""
+    z = lambda k: F.col(f"zone.{k}")
+    rect = z("shape.rect.min_m").isNotNull() & z("shape.rect.max_m").isNotNull()
+    circle = z("shape.circle.center_m").isNotNull() & z("shape.circle.radius_m").isNotNull()
+    df = zones.where(rect | circle)
+    # fixed values: the map's colours and line
+    return df.select(
+        F.coalesce(z("name"), F.lit("")).alias("name"), z("priority").alias("priority"), F.coalesce(z("effect.mode"), F.lit("absolute")).alias("mode"),
+        F.when(rect, "rect").otherwise("circle").alias("kind"), F.when(rect, "#e67e22").otherwise("#27ae60").alias("colour"), F.lit(2).alias("weight"), F.lit(0.08).alias("fill"),
+        z("effect.gps_abs").alias("gps"), z("effect.wind_ms").alias("wind"), z("effect.turbulence.std_ms").alias("std"), z("effect.turbulence.seed").alias("seed"),
+    )

@@ -48,6 +48,19 @@ def missions(waypoints: DataFrame, origin: tuple[float, float], takeoff_s: float
     return flat.select("mission", F.row_number().over(Window.partitionBy("mission").orderBy("n", "s.k")).alias("step"), "s.command", "s.parameters")
 
 
+def documents(commands: DataFrame) -> DataFrame:
+    """(value): one JSON document {"id", "mission": [...]} a mission, commands in order, nulls left out."""
+    each = F.transform(F.array_sort(F.collect_list(F.struct("step", "command", "parameters"))), lambda c: F.struct(c["command"].alias("command"), c["parameters"].alias("parameters")))
+    return commands.groupBy("mission").agg(each.alias("m")).select(F.to_json(F.struct(F.col("mission").alias("id"), F.col("m").alias("mission"))).alias("value"))
+
+
+def polyline(waypoints: DataFrame, origin: tuple[float, float]) -> DataFrame:
+    """(mission, place, lat, lon): the line from the origin (place 0) over the waypoints in order."""
+    own = waypoints.select("mission", F.row_number().over(Window.partitionBy("mission").orderBy("seq")).alias("place"), "lat", "lon")
+    start = waypoints.select("mission").distinct().select("mission", F.lit(0).alias("place"), F.lit(float(origin[0])).alias("lat"), F.lit(float(origin[1])).alias("lon"))
+    return start.unionByName(own)
+
+
 def carried_sleep(commands: DataFrame) -> DataFrame:
     """Moves of (mission, step, command, duration_sec, ...) with the last sleep since the move before, 0 without one."""
     w = Window.partitionBy("mission").orderBy("step")

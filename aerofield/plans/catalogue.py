@@ -54,9 +54,9 @@ def environment(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 @query(f"SELECT area_id, 'prop_' || area_id AS area_property_id, xmin, ymin, xmax, ymax, 0.0::DOUBLE AS zmin, 100.0::DOUBLE AS zmax, (xmin + xmax) / 2 AS cx, (ymin + ymax) / 2 AS cy FROM ({X.CELLS})")
 def grid_cells(spark, sf_dir):
-    areas, _, links = creator.build(spark, X.MODEL, with_zones=False)
+    areas = creator.cells(spark, X.GRID).withColumn("area_property_id", creator.property_id())
     s = geometry.box_size(F.col("bounds"))
-    return corners(areas).join(links.select("area_id", "area_property_id"), "area_id").select("area_id", "area_property_id", "xmin", "ymin", "xmax", "ymax", F.col("bounds.min.z").alias("zmin"), F.col("bounds.max.z").alias("zmax"), s["cx"].alias("cx"), s["cy"].alias("cy"))
+    return corners(areas).select("area_id", "area_property_id", "xmin", "ymin", "xmax", "ymax", F.col("bounds.min.z").alias("zmin"), F.col("bounds.max.z").alias("zmax"), s["cx"].alias("cx"), s["cy"].alias("cy"))
 
 
 @query(f"SELECT s_suppkey, {s6('abs(s_acctbal) / 1000 * cos(radians(s_acctbal))')} AS wx, {s6('abs(s_acctbal) / 1000 * sin(radians(s_acctbal))')} AS wy FROM supplier")
@@ -256,13 +256,6 @@ def tree_cost(spark, sf_dir):
     return X.table(spark, sf_dir, "part").select("p_partkey", d.alias("depth"), c["branching"].alias("branching"), c["cost"].alias("cost"))
 
 
-@query()
-def tree_analysis(spark, sf_dir):
-    """Iterative, level by level; the tests compare it with a recursive one."""
-    areas, _, _ = environment(spark)
-    return tree.tree_stats(tree.tree_nodes(areas, 7))
-
-
 # ---- frames ----
 
 
@@ -309,14 +302,6 @@ def plane_rectangular(spark, sf_dir):
     return X.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), (F.round(x, 3) + 0.0).alias("x"), (F.round(y, 3) + 0.0).alias("y"))
 
 
-@query()
-def equidistant(spark, sf_dir):
-    """Geodesics need iteration; the tests compare with known distances."""
-    lon, lat = F.lit(135) + F.col("c_custkey") % 977 / 977.0, F.lit(34) + F.col("c_custkey") % 881 / 881.0
-    p = frames.azimuthal_equidistant(*X.ORIGIN)(lon, lat)
-    return X.table(spark, sf_dir, "customer").select("c_custkey", p.alias("p")).select("c_custkey", "p.x", "p.y")
-
-
 _BOX = f"lat - degrees(ns / {_R}) AS a, lat + degrees(ns / {_R}) AS b, lon - degrees(ew / ({_R} * cos(radians(lat)))) AS c, lon + degrees(ew / ({_R} * cos(radians(lat)))) AS d"
 _SUPP = "SELECT s_suppkey, 35 + s_suppkey % 89 / 89.0::DOUBLE AS lat, 139 + s_suppkey % 97 / 97.0::DOUBLE AS lon, 500 + abs(s_acctbal) AS ns, 1000.0::DOUBLE AS ew FROM supplier"
 
@@ -438,13 +423,6 @@ def wall_records(spark, sf_dir):
     return w.select("id", "edge_index", "box.cx", "box.cy", r6("box.sx").alias("half_length"), r6("box.yaw").alias("yaw"))
 
 
-@query()
-def box_records(spark, sf_dir):
-    """Boxes or walls; the tests compare with a brute-force version and turned copies."""
-    p = X.rings(spark, sf_dir).select(F.col("id").cast("string"), "vertices", F.lit(0.0).alias("zmin"), F.lit(9.0).alias("zmax"), F.lit(None).cast("string").alias("source_gml"))
-    return city.box_records(p, threshold=1.5)
-
-
 def _box_rows(spark, sf_dir):
     k = F.col("p_partkey")
     return X.table(spark, sf_dir, "part").select(k.cast("string").alias("id"), F.array((k % 100) / 4.0, (k % 37) / 8.0).alias("center"), F.array(F.col("p_size") / 2.0, F.col("p_size") / 4.0).alias("half_size"), F.lit(0.0).alias("yaw_rad"), F.when(k % 3 == 0, F.col("p_size") * 1.0).alias("height"), F.when(k % 2 == 0, (k % 10) / 2.0).alias("zmin"), F.when(k % 4 == 0, (k % 10) / 2.0 + 3).alias("zmax"))
@@ -503,17 +481,17 @@ def sleep_carry(spark, sf_dir):
     return mission.carried_sleep(c).select("event_id", "sleep_before")
 
 
-@query(f"SELECT user_id AS drone, max_by(event_id, ts) AS event_id FROM ({X.POINTS}) WHERE z IS NOT NULL GROUP BY user_id")
+@query(f"SELECT user_id AS drone, max_by(event_id, (ts, event_id)) AS event_id FROM ({X.POINTS}) WHERE z IS NOT NULL GROUP BY user_id")
 def latest_pose(spark, sf_dir):
     p = X.points(spark, sf_dir).withColumnRenamed("user_id", "drone")
-    return poses.latest(p).join(p.select("drone", "ts", "event_id"), ["drone", "ts"]).select("drone", "event_id")
+    return poses.latest(p, carry=("event_id",)).select("drone", "event_id")
 
 
-@query("SELECT date_trunc('hour', ts) AS tick, user_id AS drone, max_by(event_id, ts) AS event_id FROM events GROUP BY 1, 2")
+@query("SELECT date_trunc('hour', ts) AS tick, user_id AS drone, max_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1, 2")
 def tick_windows(spark, sf_dir):
     """Extension: event-time ticks."""
-    p = X.points(spark, sf_dir).select(F.col("user_id").alias("drone"), F.col("ts").cast("timestamp"), "x", "y", F.col("event_id").cast("double").alias("z"))
-    return poses.ticks(p, "1 hour").select(F.col("tick").cast("timestamp_ntz").alias("tick"), "drone", F.col("z").cast("long").alias("event_id"))
+    p = X.points(spark, sf_dir).select(F.col("user_id").alias("drone"), F.col("ts").cast("timestamp"), "x", "y", "z", "event_id")
+    return poses.ticks(p, "1 hour", carry=("event_id",)).select(F.col("tick").cast("timestamp_ntz").alias("tick"), "drone", "event_id")
 
 
 @query("SELECT event_id, ((k % 3) = 0) AS has_pose, ((k % 5) = 0) AS has_disturbance FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) WHERE k % 7 <> 0")

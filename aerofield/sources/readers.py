@@ -102,6 +102,11 @@ def polygons(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("vertices", F.transform("vertices", lambda v: F.struct(v[0].alias("x"), v[1].alias("y"))))
 
 
+def city_header(spark: SparkSession, path: str) -> DataFrame:
+    """One row (version, crs, coordinate_system, origin, bounds) of a polygon or box document."""
+    return document(spark, path, "version string, crs string, coordinate_system string, origin struct<lat: double, lon: double, x: double, y: double>, bounds struct<ns_m: double, ew_m: double>")
+
+
 def query_meta(spark: SparkSession, path: str) -> DataFrame:
     """One row, null where incomplete or unreadable."""
     df = document(spark, path, "center_lat double, center_lon double, ns_m double, ew_m double, bbox struct<min_lat: double, max_lat: double, min_lon: double, max_lon: double>")
@@ -113,11 +118,12 @@ def gml_paths(spark: SparkSession, folder: str, pattern: str = "*.gml") -> DataF
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder).select("path").orderBy("path")
 
 
-def buildings(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def buildings(spark: SparkSession, path: str | list[str], lenient: bool = False) -> DataFrame:
     """(id, pos_lists, source_gml) of the buildings of city files that have level-1 rings, at any depth inside.
 
     One row per building element is split off by Spark's XML source rules, which keep to
-    direct children; rings may lie anywhere below, so each file is walked once in Arrow batches.
+    direct children; rings may lie anywhere below, so each file is walked once in Arrow batches.  A file that is
+    not well-formed raises, or, if ``lenient``, gives a row with null id and rings.
     """
     import xml.etree.ElementTree as ET
     from collections.abc import Iterator
@@ -131,7 +137,14 @@ def buildings(spark: SparkSession, path: str | list[str]) -> DataFrame:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids, lists = [], []
-                for b in ET.fromstring(content).iter():
+                try:
+                    root = ET.fromstring(content)
+                except ET.ParseError as e:
+                    if not lenient:
+                        raise ValueError(f"{path}: {e}") from e
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.nulls(1, pa.list_(pa.string())), pa.array([path])], names=["id", "pos_lists", "source_gml"])
+                    continue
+                for b in root.iter():
                     space, _, tag = b.tag.rpartition("}")
                     if tag != "Building" or bldg not in space:
                         continue
@@ -195,7 +208,7 @@ def checked(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
 
 
 _AREA = {"area_id": "area_id <> ''", "bounds": "bounds.min.x <= bounds.max.x and bounds.min.y <= bounds.max.y and bounds.min.z <= bounds.max.z"}
-_PROPERTY = {"id": "id <> ''", "wind_velocity": "size(properties.wind_velocity) = 3", "temperature": "properties.temperature is not null", "gps_strength": "properties.gps_strength between 0 and 1"}
+_PROPERTY = {"id": "id <> ''", "wind_velocity": "size(properties.wind_velocity) = 3", "temperature": "properties.temperature is not null", "sea_level_atm": "properties.sea_level_atm is not null", "gps_strength": "properties.gps_strength between 0 and 1"}
 _LINK = {"area_id": "area_id <> ''", "area_property_id": "area_property_id <> ''"}
 
 
@@ -204,6 +217,40 @@ def repeated_links(df: DataFrame) -> DataFrame:
     return df.groupBy("area_id", "area_property_id").agg(F.count("*").alias("times")).where("times > 1")
 
 
+#: What a model must have, and a zone of each mode; a boundary's fields.
+_MODEL = {"grid": "size(grid.cell_m) >= 2 and (grid.extent_m is not null or grid.max is not null)", "wind": "size(base.wind.vector_ms) = 3 or (base.wind.dir_deg is not null and base.wind.speed_ms is not null)", "gps_strength": "coalesce(base.gps_strength, 1) between 0 and 1", "axis": "coalesce(meta.axis, 'ENU') in ('ENU', 'NED', 'ROS')"}
+_ZONE = {
+    "name": "zone.name <> ''",
+    "shape": "(zone.shape.circle.radius_m > 0 and size(zone.shape.circle.center_m) = 2) or (zone.shape.rect.min_m is not null and (zone.shape.rect.max_m is not null or zone.shape.rect.size_m is not null)) or (zone.shape.rect.center_m is not null and zone.shape.rect.size_m is not null)",
+    "mode": "zone.effect.mode in ('absolute', 'scale', 'add', 'vortex', 'turbulence')",
+    "effect": "case zone.effect.mode when 'absolute' then size(zone.effect.wind_ms) = 3 when 'scale' then zone.effect.scale is not null when 'vortex' then zone.effect.vortex.gain is not null when 'turbulence' then zone.effect.turbulence.std_ms is not null else true end",
+    "gps_abs": "coalesce(zone.effect.gps_abs, 0) between 0 and 1",
+}
+_BOUNDARY = {"name": "name <> ''", "position": "size(position) = 3", "size": "size(size) between 2 and 3", "rotation": "size(rotation) = 3"}
+
+
+def model_checks() -> dict[str, Column]:
+    """For rows (grid, base, meta) of `models`."""
+    return {k: F.expr(v) for k, v in _MODEL.items()}
+
+
+def zone_checks() -> dict[str, Column]:
+    """For rows with a ``zone`` as the zone editor imports them."""
+    return {k: F.expr(v) for k, v in _ZONE.items()}
+
+
+def boundary_checks() -> dict[str, Column]:
+    """For rows (name, position, size, rotation)."""
+    return {k: F.expr(v) for k, v in _BOUNDARY.items()}
+
+
+def models(documents: DataFrame) -> DataFrame:
+    """``documents`` (with ``json``) with what a whole model has beside its zones: grid, base and meta."""
+    number = "array<double>"
+    kind = f"grid struct<min: {number}, max: {number}, extent_m: {number}, cell_m: {number}, levels: int>, base struct<wind: struct<vector_ms: {number}, dir_deg: double, speed_ms: double>, temperature_C: double, pressure_atm: double, gps_strength: double>, meta struct<crs: string, axis: string, origin_latlon: {number}>"
+    return documents.withColumn("_m", F.from_json("json", kind)).select("*", "_m.grid", "_m.base", "_m.meta").drop("_m")
+
+
 def area_checks() -> dict[str, Column]:
     return {k: F.expr(v) for k, v in _AREA.items()}
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,16 @@ def json_document(df: DataFrame, path: str, name: str, order: list[str], header:
     body.select(text.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def city_header(crs: str, origin: tuple[float, float, float, float] | None = None, bounds: tuple[float, float] | None = None) -> dict[str, str]:
+    """The header of polygon and box documents: origin is (lat, lon, x, y), bounds metres to north-south and east-west."""
+    head = {"version": json.dumps("1.0"), "crs": json.dumps(crs), "coordinate_system": json.dumps("enu")}
+    if origin:
+        head["origin"] = json.dumps(dict(zip(("lat", "lon", "x", "y"), origin, strict=True)))
+    if bounds:
+        head["bounds"] = json.dumps(dict(zip(("ns_m", "ew_m"), bounds, strict=True)))
+    return head
+
+
 def csv_lines(df: DataFrame) -> DataFrame:
     """(label, line): area label, centre and position, as comma-separated text."""
     return df.select("label", F.format_string("%s,%.3f,%.3f,%.8f,%.8f", "label", "cx", "cy", "lat", "lon").alias("line"))
@@ -33,6 +45,7 @@ def csv_lines(df: DataFrame) -> DataFrame:
 def mjcf(bodies: DataFrame, path: str, name: str = "obb_world", floor: bool = False) -> None:
     """A simulator's world file of body elements (id, xml), in order of id."""
     plane = '<geom name="floor" type="plane" pos="0 0 0" size="0 0 1" rgba="0.7 0.7 0.7 1"/>\n' if floor else ""
+    # fixed values: the simulator's stack and contact limits
     start = f'<mujoco model="{name}">\n<size nstack="40000000" nconmax="500000"/>\n<worldbody>\n{plane}'
     text = bodies.agg(F.concat(F.lit(start), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "xml"))), lambda r: r["xml"]), "\n"), F.lit("\n</worldbody>\n</mujoco>")).alias("value"))
     text.coalesce(1).write.mode("overwrite").text(path)

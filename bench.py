@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 from aerofield.operators import tree
 from aerofield.plans import catalogue, fixtures
+from aerofield.sources import scratch
 
 HEADLINES = ("point_to_property", "point_to_area", "range_join_all_hits", "disturbance", "zone_fold_wind", "integrity", "polygon_area", "box_area", "wall_records", "mission_segments", "sleep_carry", "latest_pose", "enu_to_lonlat", "plane_rectangular", "wind_arrows", "pos_lists")
 DEPTHS = (1, 2, 3, 4, 5, 6, 7, 8, 9)
@@ -49,7 +50,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir("/tmp/bench-checkpoints")
+        spark.sparkContext.setCheckpointDir(scratch.folder(spark, "bench"))
     took = {name: round(seconds(spark, name, sf_dir), 3) for name in HEADLINES}
     events = fixtures.table(spark, sf_dir, "events").count()
     out = {

@@ -3,7 +3,10 @@
 import duckdb
 import pytest
 
-from aerofield.plans import catalogue
+from aerofield.plans import (
+    catalogue,
+    documents,  # noqa: F401  (its queries are in the catalogue)
+)
 
 from .conftest import SF
 
