@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-import hashlib
+import pickle
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import table, written
+from . import _files
+from ._shared import fresh_dir, table
 from ._text import LOWER, prefix_hash, span_hash, text_chunks, words
 
 WINDOW = 13
-#: Words of test items in one automaton; more items make more automata, used one after the other.
-MAX_WORDS = 200_000
+#: Words of test items in one automaton; more items make more automata, and longer items go in overlapping parts.
+MAX_WORDS = 100_000
+#: Automata that a worker keeps; with more, each passes in turn over so many bytes of text.
+KEPT, HELD_BYTES = 2, 8 << 20
 #: Bytes that are not part of a word: all of ASCII but digits and lower-case letters.
 OUTSIDE = np.zeros(256, bool)
 OUTSIDE[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
@@ -32,32 +37,28 @@ class SuffixAutomaton:
         self.window = window
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        ends: list[set[str]] = [set()]
-        whole: list[tuple[int, str | None, int]] = []
+        whole: dict[int, set[str]] = {}
         for item, seq in items:
             last = 0
             for w in seq:
                 last = self._extend(last, w)
-                while len(ends) < len(self.next):
-                    ends.append(set())
-                if item is not None:
-                    ends[last].add(item)
             if 0 < len(seq) < window:
-                whole.append((last, item, len(seq)))
-        order = sorted(range(1, len(self.next)), key=lambda s: -self.length[s])
-        for s in order:
-            ends[self.link[s]] |= ends[s] if self.link[s] > 0 else set()
-        #: of a state with factors of the window's length: the items that hold that window
-        self.at_window = {s: frozenset(ends[s]) for s in order if self.length[self.link[s]] < window <= self.length[s]}
-        short: dict[int, list[tuple[int, str | None]]] = {}
-        for s, item, n in whole:
-            short.setdefault(s, []).append((n, item))
-        self.up_window, self.short = [0] * len(self.next), [[] for _ in self.next]
-        for s in reversed(order):
+                whole.setdefault(last, set()).update([] if item is None else [item])
+        #: the state up the suffix links that has the factor of the window's length; and the short items that end there
+        self.up_window, self.short = [0] * len(self.next), [()] * len(self.next)
+        for s in sorted(range(1, len(self.next)), key=lambda s: self.length[s]):
             up = self.link[s]
-            self.up_window[s] = s if s in self.at_window else self.up_window[up]
-            self.short[s] = self.short[up] + short.get(s, [])
-        self.shortest = min([window, *(n for _, _, n in whole)])
+            self.up_window[s] = s if self.length[up] < window <= self.length[s] else self.up_window[up]
+            self.short[s] = (*self.short[up], (self.length[s], frozenset(whole[s]))) if s in whole else self.short[up]
+        self.shortest = min([window, *(self.length[s] for s in whole)])
+        #: of a state with factors of the window's length: the items that hold that window
+        self.at_window: dict[int, set[str]] = {}
+        for item, seq in items:
+            s = 0
+            for n, w in enumerate(seq, 1):
+                s = self.next[s][w]
+                if n >= window:
+                    self.at_window.setdefault(self.up_window[s], set()).update([] if item is None else [item])
 
     def _new(self, length: int, link: int, step: dict[int, int]) -> int:
         self.length.append(length)
@@ -87,7 +88,7 @@ class SuffixAutomaton:
         self.link[new] = self._split(p, w) if p >= 0 else 0
         return new
 
-    def occurrences(self, seq: list[int]) -> Iterator[tuple[int, int, frozenset[str]]]:
+    def occurrences(self, seq: list[int]) -> Iterator[tuple[int, int, set[str] | frozenset[str]]]:
         """(end, length, items) of each window that ends before word ``end`` of the stream."""
         s = n = 0
         for i, w in enumerate(seq):
@@ -98,9 +99,9 @@ class SuffixAutomaton:
                 s, n = self.next[s][w], n + 1
             if n >= self.window:
                 yield i + 1, self.window, self.at_window[self.up_window[s]]
-            for k, item in self.short[s]:
+            for k, found in self.short[s]:
                 if k <= n:
-                    yield i + 1, k, frozenset() if item is None else frozenset([item])
+                    yield i + 1, k, found
 
 
 class Matcher:
@@ -150,17 +151,54 @@ def word_lists(texts: list[str | None]) -> list[list[bytes]]:
     return out
 
 
-def matchers(bench: DataFrame, window: int = WINDOW) -> list[Matcher]:
-    """Automata of at most `MAX_WORDS` words each (or one item), built from blocks of the items' rows."""
-    out, block, n = [], [], 0
-    for row in bench.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        seq = word_lists([row[1]])[0]
-        if block and n + len(seq) > MAX_WORDS:
-            out.append(Matcher(block, window))
-            block, n = [], 0
-        block.append((row[0], seq))
-        n += len(seq)
-    return [*out, Matcher(block, window)]
+def parts_of(seq: list[bytes], window: int) -> list[list[bytes]]:
+    """An item in parts of at most `MAX_WORDS` words, which overlap so that each of its windows lies in one."""
+    step = max(1, MAX_WORDS - window + 1)
+    return [seq[at : at + step + window - 1] for at in range(0, max(1, len(seq) - window + 1), step)] if len(seq) > MAX_WORDS else [seq]
+
+
+def built(bench: DataFrame, window: int = WINDOW) -> tuple[str, list[str]]:
+    """Automata of at most `MAX_WORDS` words each, built by tasks from blocks of the items' rows: their folder and names."""
+    folder = fresh_dir(bench.sparkSession, "automata")
+    fs, at = _files.opened(folder)
+    fs.create_dir(at)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: list[tuple[str | None, list[bytes]]] = []
+        n = 0
+
+        def out() -> pa.RecordBatch:
+            name = uuid.uuid4().hex
+            _files.put(folder, name, zstandard.ZstdCompressor(level=1).compress(pickle.dumps(Matcher(block, window))))
+            return pa.RecordBatch.from_arrays([pa.array([name])], names=["name"])
+
+        for b in batches:
+            for item, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                for part in parts_of(word_lists([text.as_py()])[0], window):
+                    if block and n + len(part) > MAX_WORDS:
+                        yield out()
+                        block, n = [], 0
+                    block.append((item, part))
+                    n += len(part)
+        if block:
+            yield out()
+
+    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    dealt = bench.select(F.col("item_id").cast("string"), "text").coalesce(max(1, size // (8 * MAX_WORDS)))
+    return folder, sorted(r.name for r in dealt.mapInArrow(run, "name string").collect())
+
+
+_LOADED: dict[str, Matcher] = {}
+
+
+def loaded(folder: str, name: str) -> Matcher:
+    """An automaton of the folder; a worker keeps the `KEPT` it read last."""
+    key = f"{folder}/{name}"
+    if key not in _LOADED:
+        while len(_LOADED) >= KEPT:
+            _LOADED.pop(next(iter(_LOADED)))
+        _LOADED[key] = pickle.loads(zstandard.ZstdDecompressor().decompress(_files.get(folder, name)))
+    return _LOADED[key]
 
 
 #: Makes a result of (rows, bytes, their offsets, word starts, ends, each word's document, its hit, the documents' items).
@@ -168,41 +206,33 @@ Finish = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 
 def scan(docs: DataFrame, bench: DataFrame, finish: Finish, schema: str, window: int = WINDOW) -> DataFrame:
-    """Stream the whole texts of ``docs`` through the automata, and ``finish`` each batch.
-
-    With more than one automaton, the hits so far travel with the rows in two
-    binary columns, and each pass is written to the shared folder.
-    """
-    spark = docs.sparkSession
-    passes = matchers(bench, window)
-    if len(passes) > 1:
-        docs = docs.select(F.struct("*").alias("row"), "text", F.lit(None).cast("binary").alias("hit"), F.lit(None).cast("array<string>").alias("items"))
-    for k, m in enumerate(passes):
-        shared, last = spark.sparkContext.broadcast(m), k == len(passes) - 1
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
-            for rows, data, offs in text_chunks(batches):
-                low = LOWER[data]
-                starts, ends, doc = words(low, offs, OUTSIDE)
-                hit, items = np.zeros(len(starts), bool), [set() for _ in range(rows.num_rows)]
-                if len(passes) > 1 and rows.column(2).null_count == 0:
-                    hit[:] = np.concatenate([np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=int(n)) for x, n in zip(rows.column(2), np.bincount(doc, minlength=rows.num_rows), strict=True)]).astype(bool)
-                    items = [set(x.as_py()) for x in rows.column(3)]
-                shared.value.mark(low, starts, ends, doc, hit, items)
-                if last:
-                    own = pa.RecordBatch.from_struct_array(rows.column(0)) if len(passes) > 1 else rows
-                    yield finish(own, data, offs, starts, ends, doc, hit, items)
-                else:
-                    by = np.split(hit, np.flatnonzero(np.diff(doc)) + 1) if len(doc) else []
-                    bits = [b""] * rows.num_rows
-                    for d, x in zip(np.unique(doc), by, strict=True):
-                        bits[d] = np.packbits(x).tobytes()
-                    yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(bits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], names=["row", "text", "hit", "items"])
-
-        docs = docs.mapInArrow(run, schema if last else docs.schema)
-        if not last:
-            docs = written(docs, "automaton")
-    return docs
+    """Stream the whole texts of ``docs`` once through all automata, and ``finish`` each batch."""
+    folder, names = built(bench, window)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for name in names:
+                m = loaded(folder, name)
+                for _, _, _, low, starts, ends, doc, hit, items in held:
+                    m.mark(low, starts, ends, doc, hit, items)
+            for rows, data, offs, _, starts, ends, doc, hit, items in held:
+                yield finish(rows, data, offs, starts, ends, doc, hit, items)
+
+        for rows, data, offs in text_chunks(batches):
+            low = LOWER[data]
+            starts, ends, doc = words(low, offs, OUTSIDE)
+            held.append((rows, data, offs, low, starts, ends, doc, np.zeros(len(starts), bool), [set() for _ in range(rows.num_rows)]))
+            size += len(data)
+            if len(names) <= KEPT or size >= HELD_BYTES:
+                yield from out()
+                held.clear()
+                size = 0
+        yield from out()
+
+    return docs.mapInArrow(run, schema)
 
 
 def _counts(rows: pa.RecordBatch, doc: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
