@@ -185,11 +185,15 @@ def with_time(wind: list[Column], gps: Column, mods: dict, t: Column) -> tuple[l
     return wind, F.greatest(F.lit(0.0), F.least(F.lit(1.0), gps + wave)) if "gps" in to else gps
 
 
+def whole(spark: SparkSession, model: dict, with_zones: bool = True, lenient: bool = False, order: str = "priority_desc") -> DataFrame:
+    """(ord, area_id, bounds, properties): a model's areas, each with its own property in its row."""
+    areas = cells(spark, Grid.of(model["grid"], lenient)).withColumn("properties", base_property(model["base"]))
+    return fold_zones(areas, model.get("zones") or [], order) if with_zones else areas
+
+
 def build(spark: SparkSession, model: dict, with_zones: bool = True, lenient: bool = False, order: str = "priority_desc") -> tuple[DataFrame, DataFrame, DataFrame]:
     """The area, property and link tables of a model."""
-    areas = cells(spark, Grid.of(model["grid"], lenient)).withColumn("properties", base_property(model["base"]))
-    if with_zones:
-        areas = fold_zones(areas, model.get("zones") or [], order)
+    areas = whole(spark, model, with_zones, lenient, order)
     pid = property_id()
     return areas.select("ord", "area_id", "bounds"), areas.select("ord", pid.alias("id"), "properties"), areas.select("ord", "area_id", pid.alias("area_property_id"))
 

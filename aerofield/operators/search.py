@@ -54,27 +54,27 @@ def area_hits(points: DataFrame, areas: DataFrame, cell: tuple[float, float] | N
     return found.drop("_level", "_bx", "_by")
 
 
-def primary_area(points: DataFrame, areas: DataFrame, cell: tuple[float, float] | None = None) -> DataFrame:
-    """``points`` with the area_id of the first area (by ord) that holds them, null if none does.
+def primary_area(points: DataFrame, areas: DataFrame, cell: tuple[float, float] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``points`` with the area_id, and columns ``carry``, of the first area (by ord) that holds them, null if none does.
 
     Each bucket becomes one row with its areas in order, and a point picks the first that holds
     it: one left join per level in use and no grouping, so that points are not shuffled
     at all while the bucket table is small enough for Spark to broadcast.
     """
-    spread, levels, cell = _spread(areas.select("area_id", "ord", "bounds"), cell)
-    each = F.array_sort(F.collect_list(F.struct("ord", "area_id", "bounds")))
+    spread, levels, cell = _spread(areas.select("area_id", "ord", "bounds", *carry), cell)
+    each = F.array_sort(F.collect_list(F.struct("ord", "area_id", "bounds", *carry)))
     inside = lambda a: in_box(F.col("x"), F.col("y"), F.col("z"), *(tuple(a["bounds"][s][k] for k in "xyz") for s in ("min", "max")))
     df, picks = points, []
     for n in levels:
         buckets = spread.where(F.col("_level") == n).groupBy("_bx", "_by").agg(each.alias(f"_areas{n}"))
         df = df.withColumn("_bx", _bucket(F.col("x"), cell[0], F.lit(n))).withColumn("_by", _bucket(F.col("y"), cell[1], F.lit(n))).join(buckets, ["_bx", "_by"], "left")
         first = F.get(F.filter(f"_areas{n}", lambda a: F.coalesce(inside(a), F.lit(False))), F.lit(0))
-        df = df.withColumn(f"_pick{n}", F.struct(first["ord"].alias("ord"), first["area_id"].alias("area_id"))).drop("_bx", "_by", f"_areas{n}")
+        df = df.withColumn(f"_pick{n}", F.struct(*(first[c].alias(c) for c in ("ord", "area_id", *carry)))).drop("_bx", "_by", f"_areas{n}")
         picks.append(f"_pick{n}")
     if not picks:
-        return points.withColumn("area_id", F.lit(None).cast("string"))
-    best = F.array_min(F.filter(F.array(*picks), lambda p: p["area_id"].isNotNull()))["area_id"]
-    return df.withColumn("area_id", best).drop(*picks)
+        return points.withColumns({c: F.lit(None).cast(areas.schema[c].dataType) for c in ("area_id", *carry)})
+    best = F.array_min(F.filter(F.array(*picks), lambda p: p["area_id"].isNotNull())) if len(picks) > 1 else F.col(picks[0])
+    return df.withColumns({c: best[c] for c in ("area_id", *carry)}).drop(*picks)
 
 
 def last_of(df: DataFrame, key: str, order: str = "ord") -> DataFrame:

@@ -171,8 +171,8 @@ _AT = f"{FOLD} SELECT p.event_id, c.*, z FROM ({X.POINTS}) p LEFT JOIN env c ON
 
 
 def at_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    areas, props, links = environment(spark)
-    return search.property_of(search.primary_area(X.points(spark, sf_dir), areas, X.GRID.cell[:2]), links, props)
+    """Points with the property of their area: a built model has both in one row, so that no link is followed."""
+    return search.primary_area(X.points(spark, sf_dir), creator.whole(spark, X.MODEL), X.GRID.cell[:2], carry=("properties",))
 
 
 @query(f"SELECT event_id, area_id, {s6('wx')} AS wx, {s6('wy')} AS wy, {s6('gps')} AS gps, CASE WHEN area_id IS NOT NULL THEN 20.0::DOUBLE END AS temperature FROM ({_AT})")
