@@ -28,9 +28,9 @@ DICT_BYTES = 64 << 10
 END_ID = 0
 MAGIC = b"TOKIDS01"
 #: Distinct words whose ids a worker remembers.
-MEMORY = 300_000
+MEMORY = 200_000
 #: Texts encoded at once, in bytes.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 3 << 20
 #: Ids read back at once, unless one document has more.
 READ_IDS = 1 << 20
 
@@ -66,35 +66,33 @@ class Encoder:
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in printable]
         self.shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        self.memory: dict[str, tuple[int, ...]] = {}
+        #: ids as bytes: little-endian unsigned 32-bit integers
+        self.memory: dict[str, bytes] = {}
         #: a blank after white space, or at the end
         self.odd = re.compile(r"\s |\s\Z| \Z")
 
-    def word(self, w: str) -> tuple[int, ...]:
+    def word(self, w: str) -> bytes:
         """The ids of one word as the pre-tokenizer cuts it."""
         ids = self.memory.get(w)
         if ids is None:
             if len(self.memory) >= MEMORY:
                 self.memory.clear()
-            ids = self.memory[w] = tuple(t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.shown)))
+            found = [t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.shown))]
+            ids = self.memory[w] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
-    def part(self, text: str) -> list[int]:
-        ids: list[int] = []
-        for w in self.pattern.findall(text):
-            ids += self.word(w)
-        return ids
+    def part(self, text: str) -> bytes:
+        return b"".join(map(self.word, self.pattern.findall(text)))
 
-    def whole(self, text: str) -> list[int]:
+    def whole(self, text: str) -> bytes:
         """The ids of any text."""
-        ids: list[int] = []
+        ids = []
         for piece in self.specials.split(text) if self.specials else [text]:
             if piece in self.added:
-                ids.append(self.added[piece])
+                ids.append(struct.pack("<I", self.added[piece]))
             else:
-                for p in re.split(r"(?<=\S)(?= )", piece):
-                    ids += self.part(p)
-        return ids
+                ids += [self.part(p) for p in re.split(r"(?<=\S)(?= )", piece)]
+        return b"".join(ids)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, one after the other, and each text's number of ids."""
@@ -112,26 +110,17 @@ class Encoder:
         known = chunks.to_pylist()
         used = np.zeros(len(chunks), bool)
         used[numbers[~first]] = True
-        ids: list[int] = []
-        lens = np.zeros(len(known) + len(lead), np.int64)
         word, part = self.word, self.part
-        for i, c in enumerate(known):
-            if used[i]:
-                got = word(" " + c) if c.isalpha() else part(" " + c)
-                ids += got
-                lens[i] = len(got)
-        for j, i in enumerate(lead):
-            got = part(known[i])
-            ids += got
-            lens[len(known) + j] = len(got)
-        flat, n = gather(np.array(ids, np.uint32), lens, numbers)
+        ids = [(word(" " + c) if c.isalpha() else part(" " + c)) if u else b"" for c, u in zip(known, used.tolist(), strict=True)]
+        ids += [part(known[i]) for i in lead]
+        flat, n = gather(np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4, numbers)
         per_text = np.add.reduceat(np.concatenate([n, [0]]), firsts) if len(firsts) else np.zeros(0, np.int64)
         per_text[counts == 0] = 0
         if not odd.any():
             return flat, per_text
         each = np.split(flat, np.cumsum(per_text)[:-1])
         for i in np.flatnonzero(odd):
-            each[i] = np.array(self.whole(texts[int(i)].as_py()), np.uint32)
+            each[i] = np.frombuffer(self.whole(texts[int(i)].as_py()), "<u4")
         return np.concatenate(each), np.array([len(x) for x in each])
 
 
