@@ -72,7 +72,7 @@ class Model(NamedTuple):
 
     def chunk_bytes(self) -> int:
         """Bytes of text that are judged at once: fewer for many languages."""
-        return max(1 << 16, CHUNK_BYTES * 8 // (8 + len(self.langs)))
+        return max(1 << 16, CHUNK_BYTES * 4 // (4 + len(self.langs)))
 
 
 def buckets_for(langs: int) -> int:
@@ -95,7 +95,7 @@ def learn(docs: DataFrame) -> Model:
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
 
-        for rows, data, offs in text_chunks(batches):
+        for rows, data, offs in text_chunks(batches, limit=CHUNK_BYTES // 2):
             bucket, doc = grams(data, offs)
             coded = rows.column("lang").dictionary_encode()
             of = np.array([number[x] for x in coded.dictionary.to_pylist()], np.int64)[np.asarray(coded.indices)]
