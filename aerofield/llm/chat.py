@@ -30,6 +30,11 @@ def named(speaker: Column) -> Column:
     return escaped(speaker)
 
 
+def dialogue() -> Column:
+    """A dialogue's key: its conv_id as a string that is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("-"))
+
+
 def ordered(turns: DataFrame) -> DataFrame:
     """(key, conv_id, turn, speaker, content, place): every turn with its place in its dialogue, from 0.
 
@@ -38,13 +43,12 @@ def ordered(turns: DataFrame) -> DataFrame:
     are added up from counts of spans of turn numbers, of speakers' turns in a span, and of
     contents in one of those.
     """
-    key = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("-"))
     content = F.coalesce("text", F.lit(""))
-    t = turns.select(key.alias("key"), "conv_id", F.col("turn").cast("long"), F.coalesce("role", F.lit(NOBODY)).alias("speaker"), content.alias("content"), F.substring(F.md5(content), 1, 2).alias("chunk"))
-    t = t.withColumn("span", F.coalesce(F.floor(F.col("turn") / SPAN), F.lit(-(1 << 62))))
+    said = turns.select(dialogue().alias("key"), "conv_id", F.col("turn").cast("long"), F.coalesce("role", F.lit(NOBODY)).alias("speaker"), content.alias("content"), F.substring(F.md5(content), 1, 2).alias("chunk"))
+    said = said.withColumn("span", F.coalesce(F.floor(F.col("turn") / SPAN), F.lit(-(1 << 62))))
     cell = ["key", "span", "turn", "speaker", "chunk"]
-    t = t.groupBy(*cell, "content").agg(F.first("conv_id").alias("conv_id"), F.count("*").alias("times"))
-    cells = t.groupBy(*cell).agg(F.sum("times").alias("times"))
+    t = said.groupBy(*cell, "content").agg(F.first("conv_id").alias("conv_id"), F.count("*").alias("times"))
+    cells = said.groupBy(*cell).agg(F.count("*").alias("times"))
     before = lambda w: F.coalesce(F.sum("times").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     spans = cells.groupBy("key", "span").agg(F.sum("times").alias("times")).withColumn("span_at", before(Window.partitionBy("key").orderBy("span"))).drop("times")
     cells = cells.withColumn("cell_at", before(Window.partitionBy("key", "span").orderBy("turn", "speaker", "chunk"))).drop("times").join(spans, ["key", "span"])
@@ -70,7 +74,7 @@ def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     empty table gives no rows; other columns are ignored.
     """
     t = ordered(turns)
-    who = t.where(F.col("speaker") != SYSTEM).select("key", F.col("speaker").alias("perspective")).distinct()
+    who = turns.select(dialogue().alias("key"), F.coalesce("role", F.lit(NOBODY)).alias("perspective")).where(F.col("perspective") != SYSTEM).distinct()
     said = F.struct("place", "speaker", "content")
     parts = t.groupBy("key", F.floor(F.col("place") / part_turns).alias("part")).agg(F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(said)).alias("said"))
     own = lambda x: x["speaker"] == F.col("perspective")
