@@ -197,7 +197,8 @@ def view_config(spark: SparkSession, path: str, **overrides) -> ViewConfig:
 def violations(df: DataFrame, key: str, checks: dict[str, Column]) -> DataFrame:
     """(id, problem) of rows that fail a check; a null outcome fails."""
     bad = F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()))
-    return df.select(F.col(key).alias("id"), F.explode(F.filter(bad, lambda b: b.isNotNull())).alias("problem"))
+    # in two steps: Spark's optimizer loses columns where a generator itself reads fields of a struct
+    return df.select(F.col(key).alias("id"), F.filter(bad, lambda b: b.isNotNull()).alias("problems")).select("id", F.explode("problems").alias("problem"))
 
 
 def checked(df: DataFrame, checks: dict[str, Column]) -> DataFrame:

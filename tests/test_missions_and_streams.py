@@ -126,3 +126,14 @@ def test_drawing_of_equal_values(spark):
 def test_repeated_keys_keep_the_last(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "id string, ord int, v string")
     assert sorted((r.id, r.v) for r in search.last_of(df, "id").collect()) == [("a", "y"), ("b", "z")]
+
+
+def test_violations_of_computed_structs_are_whole_when_collected(spark, tmp_path):
+    """Where only some fields of a struct are null by chance, every column still comes back, collected or written."""
+    k = F.col("id")
+    p = spark.range(12).select(k.cast("string").alias("id"), F.struct(F.when(k % 4 == 0, F.array(F.lit(1.0))).otherwise(F.array(*map(F.lit, (1.0, 0.0, 0.0)))).alias("wind_velocity"), F.when(k % 6 != 0, 20.0).alias("temperature"), F.lit(1.0).alias("sea_level_atm"), (k / 10.0).alias("gps_strength")).alias("properties"))
+    bad = readers.violations(p, "id", readers.property_checks())
+    want = sorted([(str(i), "wind_velocity") for i in (0, 4, 8)] + [(str(i), "temperature") for i in (0, 6)] + [("11", "gps_strength")])
+    assert sorted(map(tuple, bad.collect())) == want
+    bad.write.parquet(str(tmp_path / "bad"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "bad")).collect())) == want
