@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import items
+
 POINT = "struct<x: double, y: double, z: double>"
 BOUNDS = f"struct<min: {POINT}, max: {POINT}>"
 PROPERTIES = "struct<wind_velocity: array<double>, temperature: double, sea_level_atm: double, gps_strength: double>"
@@ -28,18 +30,24 @@ def _items(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.posexplode(F.coalesce(column, F.array().cast(df.schema[column].dataType))).alias("ord", "item")).select("ord", "item.*")
 
 
+def listed(spark: SparkSession, path: str, names: tuple[str, ...], fields: str, required: bool = False) -> DataFrame:
+    """(ord, fields) of the items of a document's list, the first of ``names`` that it has; a file that is no JSON raises."""
+    found = items.of_files(spark, path, names, required)
+    return found.select("ord", F.from_json("item", f"struct<{fields}>").alias("item")).select("ord", "item.*")
+
+
 def areas(spark: SparkSession, path: str) -> DataFrame:
-    return _items(document(spark, path, f"space_areas array<struct<area_id: string, bounds: {BOUNDS}>>"), "space_areas")
+    return listed(spark, path, ("space_areas",), f"area_id: string, bounds: {BOUNDS}")
 
 
 def properties(spark: SparkSession, path: str) -> DataFrame:
     """(ord, id, properties), with a signal strength of 1 where none is given."""
-    df = _items(document(spark, path, f"area_properties array<struct<id: string, properties: {PROPERTIES}>>"), "area_properties")
+    df = listed(spark, path, ("area_properties",), f"id: string, properties: {PROPERTIES}")
     return df.withColumn("properties", F.col("properties").withField("gps_strength", F.coalesce("properties.gps_strength", F.lit(1.0))))
 
 
 def links(spark: SparkSession, path: str) -> DataFrame:
-    return _items(document(spark, path, "links array<struct<area_id: string, area_property_id: string>>"), "links")
+    return listed(spark, path, ("links",), "area_id: string, area_property_id: string")
 
 
 def any_areas(spark: SparkSession, path: str) -> DataFrame:
@@ -92,13 +100,11 @@ def robot_channels(df: DataFrame, pose: str = "pos", disturb: str = "disturb") -
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """Box records under results, or polygons where there are none; an empty document raises."""
-    item = "array<struct<" + RECORD.replace(" ", ": ").replace(",: ", ", ") + ">>"
-    df = document(spark, path, f"results {item}, polygons {item}").select(F.coalesce("results", "polygons").alias("r"))
-    return df.select(F.when(F.coalesce(F.size("r"), F.lit(0)) == 0, F.raise_error(f"{path} has no records").cast(item)).otherwise(F.col("r")).alias("r")).select(F.posexplode("r").alias("ord", "item")).select("ord", "item.*")
+    return listed(spark, path, ("results", "polygons"), RECORD.replace(" ", ": ").replace(",: ", ", "), required=True)
 
 
 def polygons(spark: SparkSession, path: str) -> DataFrame:
-    df = _items(document(spark, path, "polygons array<struct<id: string, vertices: array<array<double>>, zmin: double, zmax: double, height: double, source_gml: string>>"), "polygons")
+    df = listed(spark, path, ("polygons",), "id: string, vertices: array<array<double>>, zmin: double, zmax: double, height: double, source_gml: string")
     return df.withColumn("vertices", F.transform("vertices", lambda v: F.struct(v[0].alias("x"), v[1].alias("y"))))
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,11 +22,27 @@ def json_document(df: DataFrame, path: str, name: str, order: list[str], header:
     A single document is a single task by nature; it is for exchange with tools that read one file.
     """
     cols = [c for c in df.columns if c not in drop]
-    rows = df.select(F.struct(*order).alias("k"), F.struct(*cols).alias("v"))
-    body = rows.agg(F.transform(F.array_sort(F.collect_list(F.struct("k", F.to_json("v").alias("j")))), lambda r: r["j"]).alias("items"))
-    head = "".join(f'"{k}": {v}, ' for k, v in (header or {}).items())
-    text = F.concat(F.lit("{" + head + f'"{name}": ['), F.array_join("items", ",\n"), F.lit("]}"))
-    body.select(text.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    items_document(df.select(F.struct(*order).alias("k"), F.to_json(F.struct(*cols)).alias("j")), path, name, header)
+
+
+def items_document(rows: DataFrame, path: str, name: str, header: dict | None = None) -> None:
+    """One document of the items ``j`` (JSON text) in order of ``k``; the task that writes it sorts on disk and holds a batch."""
+    head = "{" + "".join(f'"{k}": {v}, ' for k, v in (header or {}).items()) + f'"{name}": ['
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, held = head, ""
+        for b in batches:
+            out = []
+            for j in b.column(0).to_pylist():
+                if j is not None:
+                    out += [held + ","] if held else []
+                    start, held = "", start + j
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([(held or start) + "]}"])], names=["value"])
+
+    # a first row without an item, so that a document of none is written too
+    first = rows.sparkSession.range(1).select(F.lit(None).cast(rows.schema["k"].dataType).alias("k"), F.lit(None).cast("string").alias("j"))
+    rows.select("k", "j").union(first).repartition(1).sortWithinPartitions("k", "j").select("j").mapInArrow(run, "value string").write.mode("overwrite").text(path)
 
 
 def city_header(crs: str, origin: tuple[float, float, float, float] | None = None, bounds: tuple[float, float] | None = None) -> dict[str, str]:
