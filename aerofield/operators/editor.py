@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.frames import enu_to_ros, ros_to_enu
 from ..functions.wind import from_met_direction, js_round, to_met_direction
+from ..sources import items
 from .creator import contains
 
 CIRCLE = "struct<center_m: array<double>, radius_m: double>"
@@ -54,9 +55,20 @@ def imported(documents: DataFrame, to_enu: bool = False) -> DataFrame:
     """(ord, zone) of model documents (column ``json``): nothing is lost on the way back.
 
     With ``to_enu``, places and vectors of models in the robots' frame (meta.axis "ROS") are turned to east and north.
+    Zones are split off one by one; a document that is no JSON raises.
     """
-    parsed = documents.select(F.from_json("json", f"meta struct<axis: string>, zones array<{ZONE}>").alias("m"))
-    df = parsed.select(F.upper("m.meta.axis").alias("axis"), F.posexplode("m.zones").alias("ord", "zone"))
+    axis = documents.select(F.get_json_object("json", "$.meta.axis").alias("axis"), "json")
+    return _zones(items.of_column(axis, "json", "axis", ("zones",)).withColumnRenamed("document", "axis"), to_enu)
+
+
+def imported_files(spark: SparkSession, path: str, to_enu: bool = False) -> DataFrame:
+    """(ord, zone) as `imported` gives them, of the model documents at ``path``, which may be of any length."""
+    axis = spark.read.schema("meta struct<axis: string>").option("multiLine", True).json(path).select(F.col("_metadata.file_path").alias("document"), F.col("meta.axis").alias("axis"))
+    return _zones(items.of_files(spark, path, ("zones",)).join(F.broadcast(axis), "document", "left"), to_enu)
+
+
+def _zones(found: DataFrame, to_enu: bool) -> DataFrame:
+    df = found.select(F.upper("axis").alias("axis"), "ord", F.from_json("item", ZONE).alias("zone"))
     if to_enu:
         df = df.withColumn("zone", F.when(F.col("axis") == "ROS", _to_enu(F.col("zone"))).otherwise(F.col("zone")))
     return df.select("ord", "zone")

@@ -395,8 +395,9 @@ def zone_documents(spark, sf_dir):
     shape = F.when(F.col("k") % 2 == 0, F.concat(F.lit('{"circle":{"center_m":['), "s", F.lit(","), (F.col("k") % 9).cast("double"), F.lit('],"radius_m":3}}'))).otherwise(F.lit('{"rect":{"min_m":[0,0],"max_m":[1,2]}}'))
     gps = F.when(F.col("k") % 3 == 0, F.lit(',"gps_abs":0.25')).otherwise("")
     one = F.concat(F.lit('{"name":"z'), "k", F.lit('","priority":'), (F.col("s") % 5).cast("int"), F.lit(',"shape":'), shape, F.lit(',"effect":{"mode":"absolute","wind_ms":[0,'), -F.col("s"), F.lit(",0]"), gps, F.lit("}}"))
-    model = p.agg(F.concat(F.lit('{"meta":{"axis":"ROS"},"zones":['), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", one.alias("j")))), lambda r: r["j"]), ","), F.lit("]}")).alias("json"))
-    zones = editor.imported(model, to_enu=True)
+    out = scratch.folder(spark, "model")
+    writers.items_document(p.select("k", one.alias("j")), out, "zones", header={"meta": '{"axis":"ROS"}'})
+    zones = editor.imported_files(spark, out, to_enu=True)
     back = editor.exported(zones).select(F.from_json("json", editor.ZONE).alias("z"))
     return back.select(F.substring("z.name", 2, 20).cast("long").alias("ord"), "z.name", "z.priority", F.when(F.col("z.shape.circle").isNotNull(), "circle").otherwise("rect").alias("shape"), F.col("z.effect.wind_ms")[0].alias("wx"), "z.effect.gps_abs", (F.col("z.shape.circle.center_m")[0] + 0.0).alias("x"), F.col("z.shape.circle.center_m")[1].alias("y"))
 

@@ -127,3 +127,18 @@ def test_rectangles_by_side_turn_with_the_axis(spark):
     (z,) = (r.zone for r in editor.imported(spark.createDataFrame([(json.dumps(model),)], "json string"), to_enu=True).collect())
     # x from 1 to 4 north, y from 2 to 7 west
     assert (z.shape.rect.min_m, z.shape.rect.size_m, z.effect.add_ms) == ([-7.0, 1.0], [5.0, 3.0], [0.0, 1.0, 4.0])
+
+
+def test_models_of_any_length_come_in_from_files(spark, tmp_path):
+    """Each file has its own axis, before or after its zones; no file is held as one value."""
+    from aerofield.sources import writers
+
+    z = lambda i: json.dumps({"name": f"z{i}", "effect": {"mode": "absolute", "wind_ms": [1.0, float(i), 0.0]}})
+    rows = spark.range(500).rdd.map(lambda r: (r[0], z(r[0]))).toDF("k long, j string")
+    writers.items_document(rows, str(tmp_path / "ros"), "zones", header={"meta": '{"axis":"ros"}'})
+    (tmp_path / "enu.json").write_text('{"zones": [%s], "meta": {"axis": "ENU"}}' % z(7))
+    turned = {r.ord: r.zone for r in editor.imported_files(spark, str(tmp_path / "ros"), to_enu=True).collect()}
+    assert sorted(turned) == list(range(500)) and turned[9].name == "z9" and turned[9].effect.wind_ms == [-9.0, 1.0, 0.0]
+    (kept,) = editor.imported_files(spark, str(tmp_path / "enu.json"), to_enu=True).collect()
+    assert kept.zone.effect.wind_ms == [1.0, 7.0, 0.0]
+    assert editor.imported(spark.createDataFrame([(None,), ('{"zones": null}',), ("{}",)], "json string")).collect() == []
