@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import frames, geometry, wind
-from ..operators import city, creator, drawing, editor, mission, search, tree
+from ..operators import city, creator, drawing, editor, mission, search, stabbing, tree
 from ..sources import readers
 from ..streaming import poses
 from . import fixtures as X
@@ -205,8 +205,7 @@ _PROBES = "SELECT DISTINCT c_custkey, CAST(c_custkey * 41 % 4400 AS DOUBLE) AS x
 @query(f"SELECT p.c_custkey, coalesce(n, 0) AS n_hits, coalesce(f, -1) AS first_ord FROM ({_PROBES}) p LEFT JOIN (SELECT c_custkey, count(*) AS n, min(ord) AS f FROM ({_PROBES}) JOIN ({_BOXES}) ON x >= x0 AND x < x0 + w AND y >= y0 AND y < y0 + w WHERE z < 300 GROUP BY c_custkey) h ON p.c_custkey = h.c_custkey")
 def range_join_all_hits(spark, sf_dir):
     p = X.table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") * 41 % 4400).cast("double").alias("x"), (F.col("c_custkey") * 29 % 6400 - 6400).cast("double").alias("y"), (F.col("c_custkey") % 400).cast("double").alias("z")).distinct()
-    hits = search.area_hits(p, odd_boxes(spark, sf_dir)).groupBy("c_custkey").agg(F.count("*").alias("n_hits"), F.min("ord").alias("first_ord"))
-    return p.select("c_custkey").join(hits, "c_custkey", "left").select("c_custkey", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), F.coalesce("first_ord", F.lit(-1)).alias("first_ord"))
+    return p.join(stabbing.stabbed(p, odd_boxes(spark, sf_dir)), ["x", "y", "z"], "left").select("c_custkey", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), F.coalesce("first_ord", F.lit(-1)).alias("first_ord"))
 
 
 def _stand_ins(spark, sf_dir):
