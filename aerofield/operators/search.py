@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions.geometry import in_box
+from .stabbing import stabbed
+
+#: Areas of a bucket up to which a point is held against each.
+CROWD = 1024
 
 
 def _levels(areas: DataFrame, cell: tuple[float, float]) -> DataFrame:
@@ -59,9 +64,12 @@ def primary_area(points: DataFrame, areas: DataFrame, cell: tuple[float, float]
 
     Each bucket becomes one row with its areas in order, and a point picks the first that holds
     it: one left join per level in use and no grouping, so that points are not shuffled
-    at all while the bucket table is small enough for Spark to broadcast.
+    at all while the bucket table is small enough for Spark to broadcast.  Where a bucket has more than `CROWD`
+    areas, a point would be held against too many: `stabbing.stabbed` then finds the first of each place.
     """
     spread, levels, cell = _spread(areas.select("area_id", "ord", "bounds", *carry), cell)
+    if crowded(spread):
+        return _first_of_crowd(points, areas, carry)
     each = F.array_sort(F.collect_list(F.struct("ord", "area_id", "bounds", *carry)))
     inside = lambda a: in_box(F.col("x"), F.col("y"), F.col("z"), *(tuple(a["bounds"][s][k] for k in "xyz") for s in ("min", "max")))
     df, picks = points, []
@@ -77,6 +85,23 @@ def primary_area(points: DataFrame, areas: DataFrame, cell: tuple[float, float]
     return df.withColumns({c: best[c] for c in ("area_id", *carry)}).drop(*picks)
 
 
+def crowded(spread: DataFrame) -> bool:
+    """Whether a bucket has more than `CROWD` areas, all with whole numbers as ord."""
+    if not isinstance(spread.schema["ord"].dataType, IntegralType):
+        return False
+    n = spread.groupBy("_level", "_bx", "_by").agg(F.count("*").alias("n"), F.count("ord").alias("known")).agg(F.max("n").alias("n"), F.min(F.col("n") == F.col("known")).alias("known")).first()
+    return bool(n["known"]) and n["n"] > CROWD
+
+
+def _first_of_crowd(points: DataFrame, areas: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    at = F.col("x"), F.col("y"), F.col("z")
+    inside = in_box(*at, *(tuple(F.col(f"bounds.{s}.{k}") for k in "xyz") for s in ("min", "max")))
+    first = stabbed(points, areas, counted=False).withColumnRenamed("first_ord", "ord").join(areas.select("ord", "area_id", "bounds", *carry), "ord").where(inside)
+    best = first.groupBy(*(F.col(c).alias(f"_{c}") for c in "xyz")).agg(F.min(F.struct("ord", "area_id", *carry)).alias("_best"))
+    found = points.join(best, [F.col(c).cast("double") == F.col(f"_{c}") for c in "xyz"], "left")
+    return found.withColumns({c: F.col("_best")[c] for c in ("area_id", *carry)}).drop("_x", "_y", "_z", "_best")
+
+
 def last_of(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
     """One row per key, the last: repeated keys replace each other."""
     row = F.max_by(F.struct("*"), F.col(order)).alias("r")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from aerofield.operators import stabbing
+from aerofield.operators import search, stabbing
 
 from .test_search import boxes, inside
 
@@ -34,6 +34,16 @@ def test_counts_and_firsts_equal_brute_force(spark, monkeypatch, tile):
     assert stabbing.stabbed(df.where("false"), boxes(spark, b)).count() == stabbing.stabbed(df, boxes(spark, [])).count() == 0
 
 
+def test_the_first_of_a_crowd_is_the_first(spark, monkeypatch):
+    b, pts = scene(random.Random(5), 120, 200)
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate([*pts, (None, 0.0, 0.0)])], "id long, x double, y double, z double")
+    areas = boxes(spark, b).withColumn("name", F.concat(F.lit("n"), "ord"))
+    plain = search.primary_area(df, areas, carry=("name",))
+    monkeypatch.setattr(search, "CROWD", 3)
+    crowd = search.primary_area(df, areas, carry=("name",))
+    assert crowd.columns == plain.columns and sorted(map(str, crowd.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_boxes_that_hold_all_places_are_no_work_for_each():
     """A million box hits at the root, and none in a leaf."""
     tree = stabbing.Tree(np.random.default_rng(2).random((1000, 3)))
