@@ -17,6 +17,8 @@ EVERY = 20
 #: Vectors of a candidate block and of a query block.
 BLOCK = 16384
 QUERY_BLOCK = 1024
+#: Queries that share a reading of the lists.
+TOGETHER = 256
 #: Parts of every sorted list after whose reading the bounds are looked at.
 DEPTHS = (1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4, 13 / 16, 7 / 8, 15 / 16, 1.0)
 #: Reading stops when so many times k vectors can still qualify: their scores are resolved.
@@ -125,6 +127,60 @@ def nra(q: np.ndarray, own: int, lists: Lists, k: int, floor: int | None = None)
     return lists.ids[alive][best], score[best].astype(np.int64), read
 
 
+def nra_many(q: np.ndarray, own: np.ndarray, lists: Lists, k: int, floor: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+    """What `nra` gives for each row of q, with one reading of the lists for all of them, and the number of list entries used.
+
+    A list is read from either end to a depth, once for the queries whose component has that sign; what a depth
+    newly reads is added to what each query knows of each vector, and the bounds follow from that and from what is unseen.  Queries
+    leave when few enough vectors are left for them, and vectors when no query can use them.  ``floor`` is minus
+    infinity where nothing is known from elsewhere.
+    """
+    most = float(np.abs(q).max(initial=0)) * lists.largest * max(1, q.shape[1])
+    n, d = lists.x.shape
+    if most >= 1 << 52 or not n or not d:
+        one = [nra(x, o, lists, k, None if f == -np.inf else int(f)) for x, o, f in zip(q, own.tolist(), floor.tolist(), strict=True)]
+        return [(ids, score) for ids, score, _ in one], sum(read for *_, read in one)
+    kind = np.float32 if most < 1 << 23 else np.float64
+    # two lists a component: from the largest down for positive q, from the smallest up for negative q
+    two = np.hstack([np.maximum(q, 0), np.minimum(q, 0)]).astype(kind)
+    end = np.hstack([lists.values[0], lists.values[n - 1]]).astype(kind)
+    used, column, floor = np.count_nonzero(q, axis=1), np.arange(d), floor.astype(kind)
+    row, here = np.arange(len(q)), np.arange(n)
+    alive, known, unseen = lists.ids != own[:, None], np.zeros((len(q), n), kind), np.ones((n, 2 * d), kind)
+    left: list[np.ndarray] = [here] * len(q)
+    at = read = 0
+    for depth in DEPTHS:
+        on = np.count_nonzero(alive, axis=1) > LEFT * k
+        for i in np.flatnonzero(~on):
+            left[row[i]] = here[alive[i]]
+        if not on.all():
+            row, alive, known, two, floor = row[on], alive[on], known[on], two[on], floor[on]
+        to = max(min(n, int(np.ceil(n * depth))), at)
+        if not len(row) or to == at:
+            continue
+        some = alive.any(axis=0)
+        if np.count_nonzero(some) < len(here) / 2:
+            here, alive, known = here[some], alive[:, some], known[:, some]
+        new = np.zeros((n, 2 * d), kind)
+        down, up = slice(n - to, n - at), slice(at, to)
+        new[lists.order[down], column], new[lists.order[up], d + column] = lists.values[down], lists.values[up]
+        unseen[lists.order[down], column] = unseen[lists.order[up], d + column] = 0
+        read, at = read + (to - at) * int(used[row].sum()), to
+        known += two @ new[here].T
+        rest = unseen[here].T
+        lower = np.where(alive, known + (two * end) @ rest, -np.inf)
+        kth = np.maximum(np.partition(lower, len(here) - k, axis=1)[:, len(here) - k], floor)
+        alive &= known + (two * np.hstack([lists.values[n - to], lists.values[to - 1]]).astype(kind)) @ rest >= kth[:, None]
+    for i, r in enumerate(row):
+        left[r] = here[alive[i]]
+    out = []
+    for x, ids in zip(q, left, strict=True):
+        score = lists.x[ids] @ x
+        best = np.lexsort((lists.ids[ids], -score))[:k]
+        out.append((lists.ids[ids][best], score[best].astype(np.int64)))
+    return out, read
+
+
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer inner products of each query's vector.
 
@@ -153,11 +209,12 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
                 wide = max(q.shape[1], x.shape[1])
                 q, x = (np.pad(v, ((0, 0), (0, wide - v.shape[1]))) for v in (q, x))
                 lists, found = Lists(x, ids), []
-                for i, own in enumerate(q_ids.tolist()):
-                    scores = kept.get(i, [])
-                    got, score, _ = nra(q[i], own, lists, k, scores[k - 1] if len(scores) >= k else None)
-                    kept[i] = sorted([*scores, *score.tolist()], reverse=True)[:k]
-                    found.append((np.full(len(got), at), np.full(len(got), i), np.full(len(got), own), got, score))
+                for start in range(0, len(q), TOGETHER):
+                    some = range(start, min(start + TOGETHER, len(q)))
+                    floor = np.array([kept[i][k - 1] if len(kept.get(i, [])) >= k else -np.inf for i in some])
+                    for i, (got, score) in zip(some, nra_many(q[start : some.stop], q_ids[start : some.stop], lists, k, floor)[0], strict=True):
+                        kept[i] = sorted([*kept.get(i, []), *score.tolist()], reverse=True)[:k]
+                        found.append((np.full(len(got), at), np.full(len(got), i), np.full(len(got), q_ids[i]), got, score))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)], names=["block", "row", "query_id", "vec_id", "score"])
 
     best = Window.partitionBy("block", "row").orderBy(F.col("score").desc(), "vec_id")

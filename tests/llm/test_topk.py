@@ -72,3 +72,27 @@ def test_reading_stops_early_only_when_it_may(clustered, scale):
         # scores found elsewhere that none here reaches end the reading at once
         assert topk.nra(x[i], ids[i], lists, 20, -want[0][0] + 1)[2] <= read
     assert all_read < 10 * x.size * 0.9 if clustered else all_read <= 10 * x.size
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 12, 1 << 22])
+@pytest.mark.parametrize("clustered", [False, True])
+def test_queries_that_read_together_get_and_read_what_each_would_alone(clustered, scale):
+    rng = np.random.default_rng(6)
+    x = np.floor(64 * rng.normal(0, 0.3, (1200, 12)))
+    x[rng.random(x.shape) < 0.1] = 0
+    if clustered:
+        x[:60] = np.floor(x[:1] * 3 + rng.integers(-2, 3, (60, 12)))
+    x[100:130] = x[99]
+    x *= scale
+    ids = rng.permutation(len(x))
+    lists, rows = topk.Lists(x, ids), np.array([0, 1, 5, 99, 110, 700, 701])
+    alone = [topk.nra(x[i], ids[i], lists, 20) for i in rows]
+    floor = np.full(len(rows), -np.inf)
+    for _ in range(2):
+        got, read = topk.nra_many(x[rows], ids[rows], lists, 20, floor)
+        for (got_ids, got_score), (want_ids, want_score, _), f in zip(got, alone, floor, strict=True):
+            assert [t for t in zip(got_score.tolist(), got_ids.tolist(), strict=True) if t[0] >= f] == [t for t in zip(want_score.tolist(), want_ids.tolist(), strict=True) if t[0] >= f]
+        assert read <= sum(r for *_, r in alone)
+        floor = np.array([float(s[9]) for _, s, _ in alone])
+    none = topk.nra_many(x[rows], ids[rows], topk.Lists(x[:0], ids[:0]), 20, floor)
+    assert [len(i) for i, _ in none[0]] == [0] * len(rows) and none[1] == 0
