@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import table, written
+from ._files import get, opened, pack, put, unpack
+from ._shared import fresh_dir, table, written
 
 K = 20
 SCALE = 64
@@ -40,17 +42,21 @@ def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(batch.column(0)), out
 
 
-def blocks(vectors: DataFrame, rows: int) -> DataFrame:
-    """(dims, ids, vs): up to ``rows`` vectors in a row, components as 64-bit floats that hold integers."""
+def stored(vectors: DataFrame, rows: int, name: str) -> DataFrame:
+    """(file): blocks of up to ``rows`` vectors in a row, as files of the shared folder that the attempt which wrote them has named."""
+    folder = fresh_dir(vectors.sparkSession, name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         n = 0
+        fs, at = opened(folder)
+        fs.create_dir(at)
 
         def out() -> pa.RecordBatch:
-            dims = max(v.shape[1] for _, v in held)
+            dims, own = max(v.shape[1] for _, v in held), uuid.uuid4().hex
             ids, vs = np.concatenate([i for i, _ in held]), np.concatenate([np.pad(v, ((0, 0), (0, dims - v.shape[1]))) for _, v in held])
-            return pa.RecordBatch.from_arrays([pa.array([dims], pa.int32()), pa.array([ids.tobytes()], pa.binary()), pa.array([vs.tobytes()], pa.binary())], names=["dims", "ids", "vs"])
+            put(folder, own, pack(np.array([dims]), ids, vs.ravel()))
+            return pa.RecordBatch.from_arrays([pa.array([f"{folder}/{own}"])], names=["file"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
@@ -63,7 +69,12 @@ def blocks(vectors: DataFrame, rows: int) -> DataFrame:
         if held:
             yield out()
 
-    return vectors.mapInArrow(run, "dims int, ids binary, vs binary")
+    return written(vectors.mapInArrow(run, "file string"), name)
+
+
+def _load(file: str) -> tuple[np.ndarray, np.ndarray]:
+    dims, ids, vs = unpack(get(*file.rsplit("/", 1)))
+    return ids, vs.reshape(len(ids), int(dims[0]))
 
 
 class Lists:
@@ -184,38 +195,35 @@ def nra_many(q: np.ndarray, own: np.ndarray, lists: Lists, k: int, floor: np.nda
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer inner products of each query's vector.
 
-    Both sides are (vec_id, v) as `scaled` gives them.  Query blocks meet candidate blocks by
-    a bucket key; each meeting gives at most k rows a query, and the best k of those stay.  A task that
-    meets several candidate blocks with a query block carries each query's k-th best score along.
+    Both sides are (vec_id, v) as `scaled` gives them.  Their blocks lie in the shared folder, and a task reads
+    those of its query block and its share of the candidates, one at a time; each meeting gives at most k rows a query,
+    and the best k of those stay.  A task carries each query's k-th best score from block to block.
     Vectors with the query's id are never among its results, ties go to smaller ids, and vectors of
     different lengths count as padded with zeros.  Rows that repeat an id are rows of
     their own as candidates, and as queries: each has its own k results.  Empty tables give no rows.
     """
-    cand = written(blocks(vectors, BLOCK).withColumn("bucket", F.xxhash64("ids")), "candidates")
-    ask = written(blocks(queries, QUERY_BLOCK).withColumn("block", F.monotonically_increasing_id()), "queries")
-    n, m = max(1, cand.count()), ask.count()
-    cand = cand.withColumn("bucket", F.pmod("bucket", F.lit(n)))
-    pairs = ask.select("block", F.col("dims").alias("q_dims"), F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("bucket")).join(cand, "bucket").drop("bucket")
-    pairs = pairs.repartition(max(1, min(n * m, 4 * pairs.sparkSession.sparkContext.defaultParallelism))).sortWithinPartitions("block")
+    cand, ask = stored(vectors, BLOCK, "candidates"), stored(queries, QUERY_BLOCK, "queries")
+    m, tasks = max(1, ask.count()), 4 * queries.sparkSession.sparkContext.defaultParallelism
+    # a row for each query block and share of the candidate blocks: only the names of blocks travel
+    shares = cand.groupBy(F.pmod(F.xxhash64("file"), F.lit(max(1, -(-tasks // m))))).agg(F.sort_array(F.collect_list("file")).alias("files")).select("files")
+    pairs = ask.withColumn("block", F.monotonically_increasing_id()).select("block", "file").crossJoin(F.broadcast(shares)).repartition(tasks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, kept = None, {}
         for batch in batches:
-            for block, q_dims, q_ids, q_vs, dims, ids, vs in zip(*batch.columns, strict=True):
-                if block.as_py() != at:
-                    at, kept = block.as_py(), {}
-                q_ids, ids = (np.frombuffer(b.as_buffer(), np.int64) for b in (q_ids, ids))
-                q, x = (np.frombuffer(b.as_buffer()).reshape(len(i), d.as_py()) for b, i, d in ((q_vs, q_ids, q_dims), (vs, ids, dims)))
-                wide = max(q.shape[1], x.shape[1])
-                q, x = (np.pad(v, ((0, 0), (0, wide - v.shape[1]))) for v in (q, x))
-                lists, found = Lists(x, ids), []
-                for start in range(0, len(q), TOGETHER):
-                    some = range(start, min(start + TOGETHER, len(q)))
-                    floor = np.array([kept[i][k - 1] if len(kept.get(i, [])) >= k else -np.inf for i in some])
-                    for i, (got, score) in zip(some, nra_many(q[start : some.stop], q_ids[start : some.stop], lists, k, floor)[0], strict=True):
-                        kept[i] = sorted([*kept.get(i, []), *score.tolist()], reverse=True)[:k]
-                        found.append((np.full(len(got), at), np.full(len(got), i), np.full(len(got), q_ids[i]), got, score))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)], names=["block", "row", "query_id", "vec_id", "score"])
+            for at, asked, files in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                (q_ids, queried), kept = _load(asked), {}
+                for file in files:
+                    ids, x = _load(file)
+                    wide = max(queried.shape[1], x.shape[1])
+                    q, x = (np.pad(v, ((0, 0), (0, wide - v.shape[1]))) for v in (queried, x))
+                    lists, found = Lists(x, ids), []
+                    for start in range(0, len(q), TOGETHER):
+                        some = range(start, min(start + TOGETHER, len(q)))
+                        floor = np.array([kept[i][k - 1] if len(kept.get(i, [])) >= k else -np.inf for i in some])
+                        for i, (got, score) in zip(some, nra_many(q[start : some.stop], q_ids[start : some.stop], lists, k, floor)[0], strict=True):
+                            kept[i] = sorted([*kept.get(i, []), *score.tolist()], reverse=True)[:k]
+                            found.append((np.full(len(got), at), np.full(len(got), i), np.full(len(got), q_ids[i]), got, score))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)], names=["block", "row", "query_id", "vec_id", "score"])
 
     best = Window.partitionBy("block", "row").orderBy(F.col("score").desc(), "vec_id")
     found = pairs.mapInArrow(run, "block long, row long, query_id long, vec_id long, score long")

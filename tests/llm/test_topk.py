@@ -96,3 +96,16 @@ def test_queries_that_read_together_get_and_read_what_each_would_alone(clustered
         floor = np.array([float(s[9]) for _, s, _ in alone])
     none = topk.nra_many(x[rows], ids[rows], topk.Lists(x[:0], ids[:0]), 20, floor)
     assert [len(i) for i, _ in none[0]] == [0] * len(rows) and none[1] == 0
+
+
+def test_no_block_is_shuffled_to_another(spark, monkeypatch):
+    """Only names of blocks meet; vectors stay in their files."""
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(5)]) for i in range(300)]
+    v = topk.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = topk.top_k(v.where("vec_id % 20 = 0"), v)
+    assert sorted(map(tuple, found.collect())) == brute(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "binary" not in plan and "SortMergeJoin" not in plan and " vs#" not in plan
