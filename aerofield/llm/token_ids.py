@@ -7,18 +7,17 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
-import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._pieces import distinct_chunks, gather
+from ._pieces import gather
 from ._shared import fresh_dir, table
 from ._text import release
 
@@ -27,12 +26,19 @@ SAMPLE_DOCS, SAMPLE_IDS = 1024, 1024
 DICT_BYTES = 64 << 10
 END_ID = 0
 MAGIC = b"TOKIDS01"
-#: Distinct words whose ids a worker remembers.
-MEMORY = 200_000
+#: Distinct words whose ids a worker remembers, and their bytes; beyond either it keeps those of the last texts, if they fit.
+MEMORY, MEMORY_BYTES = 300_000, 16 << 20
+#: Words the library encodes at once.
+SPELL_WORDS = 1 << 14
 #: Texts encoded at once, in bytes.
 BATCH_BYTES = 3 << 20
 #: Ids read back at once, unless one document has more.
 READ_IDS = 1 << 20
+#: Kinds of characters the pre-tokenizer tells apart.
+LETTERS, DIGITS, SPACES, OTHERS = range(4)
+BLANK, APOSTROPHE = 0x20, 0x27
+#: What goes with an apostrophe, by its length; of two letters the first is shifted by 32 bits.
+ENDINGS = {1: [ord(c) for c in "stmd"], 2: [ord(c[0]) << 32 | ord(c[1]) for c in ("re", "ve", "ll")]}
 
 
 def vocabulary_path() -> str:
@@ -41,87 +47,139 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def kinds(words: Callable[[str], list]) -> np.ndarray:
+    """The kind of every code point, by how the library's pre-tokenizer cuts a text of them.
+
+    Unicode's versions differ in which letters and digits they know; none has any, nor white
+    space, beyond plane 3.
+    """
+    out = np.full(0x110000, OTHERS, np.uint8)
+    out[BLANK] = SPACES
+    points = np.array([*range(BLANK), *range(BLANK + 1, 0xD800), *range(0xE000, 0x40000)])
+    every = "".join(map(chr, points))
+    for _, (lo, hi) in words(every):
+        joined = [k for k, c in ((LETTERS, "a"), (DIGITS, "1"), (OTHERS, "!")) if len(words(c + every[lo] + c)) == 1]
+        out[points[lo:hi]] = joined[0] if joined else SPACES
+    return out
+
+
 class Encoder:
     """Encodes whole texts with a byte-level BPE of the tokenizers library, each distinct word once.
 
-    The vocabulary's own rule cuts a text before each blank that follows something other
-    than white space, wherever else it cuts too; so the parts between such blanks are encoded
-    on their own, with equal results, and repeated parts and words are looked up.  As in the
+    The pre-tokenizer's rule is applied to all code points of a batch at once; what kind of
+    character each is, the library says.  Words it has not met yet are encoded many at a call.  As in the
     library, the strings of special tokens in a text are those tokens, unless ``special_as_text``.
     """
 
     def __init__(self, path: str, special_as_text: bool = False) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.model = self.tokenizer.model
         added = {} if special_as_text else self.tokenizer.get_added_tokens_decoder()
         self.added = {t.content: i for i, t in added.items()}
         if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
             raise ValueError(f"{path}: special tokens that take their surroundings in are not supported")
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        # fixed values: the split pattern of the byte-level pre-tokenizer
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        rest = [b for b in range(256) if b not in printable]
-        self.shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        #: ids as bytes: little-endian unsigned 32-bit integers
-        self.memory: dict[str, bytes] = {}
-        #: a blank after white space, or at the end
-        self.odd = re.compile(r"\s |\s\Z| \Z")
-
-    def word(self, w: str) -> bytes:
-        """The ids of one word as the pre-tokenizer cuts it."""
-        ids = self.memory.get(w)
-        if ids is None:
-            if len(self.memory) >= MEMORY:
-                self.memory.clear()
-            found = [t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.shown))]
-            ids = self.memory[w] = struct.pack(f"<{len(found)}I", *found)
-        return ids
-
-    def part(self, text: str) -> bytes:
-        return b"".join(map(self.word, self.pattern.findall(text)))
-
-    def whole(self, text: str) -> bytes:
-        """The ids of any text."""
-        ids = []
-        for piece in self.specials.split(text) if self.specials else [text]:
-            if piece in self.added:
-                ids.append(struct.pack("<I", self.added[piece]))
-            else:
-                ids += [self.part(p) for p in re.split(r"(?<=\S)(?= )", piece)]
-        return b"".join(ids)
+        #: the same model for single words: it spells their bytes and cuts nothing
+        self.spelling = Tokenizer(self.tokenizer.model)
+        self.spelling.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.kinds = kinds(self.tokenizer.pre_tokenizer.pre_tokenize_str)
+        #: words met, their ids one after the other, and each one's number of ids
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.lens = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def keep(self, some: np.ndarray) -> None:
+        """Forget all words but some."""
+        self.known = self.known.take(pa.array(some))
+        self.ids, self.lens = gather(self.ids, self.lens, some)
+
+    def full(self) -> bool:
+        return len(self.known) > MEMORY or self.known.nbytes > MEMORY_BYTES
+
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All texts' words as the pre-tokenizer cuts them, and each text's number of words.
+
+        The rule: 's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
+        """
+        whole = texts.cast(pa.large_binary())
+        _, offs, buffer = whole.buffers()
+        offs = np.frombuffer(offs, np.int64)[whole.offset : whole.offset + len(whole) + 1]
+        data = (np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8))[offs[0] : offs[-1]]
+        offs = offs - offs[0]
+        if not len(data):
+            return self.known[:0], np.zeros(len(texts), np.int64)
+        points, at = data, None
+        if data.max() > 0x7F:
+            points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+            at = np.flatnonzero((data & 0xC0) != 0x80)
+        size = len(points)
+        kind = self.kinds[points]
+        # a text's start; the two places after the last stand for one
+        first = np.zeros(size + 2, bool)
+        first[offs if at is None else np.searchsorted(at, offs)] = True
+        first[size:] = True
+        start = first[: size + 1].copy()
+        start[1:size] |= kind[1:] != kind[:-1]
+        # the last of white space before something else is a word of its own, or leads the next if a blank
+        last = np.flatnonzero((kind[:-1] == SPACES) & (kind[1:] != SPACES) & ~first[1:size])
+        start[last] = True
+        start[last + 1] = points[last] != BLANK
+        # an apostrophe that starts a word, and the letters that go with it
+        quote = np.flatnonzero(points == APOSTROPHE)
+        quote = quote[start[quote] & ~first[quote + 1]]
+        one, two = (points[np.minimum(quote + i, size - 1)].astype(np.int64) for i in (1, 2))
+        short = np.isin(one, ENDINGS[1])
+        long = ~first[quote + 2] & np.isin(one << 32 | two, ENDINGS[2])
+        start[quote[short | long] + 1] = False
+        start[quote[short] + 2] = True
+        start[quote[long] + 3] = True
+        starts = np.flatnonzero(start[:size])
+        places = np.append(starts if at is None else at[starts], len(data))
+        words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data)])
+        return words, np.diff(np.searchsorted(places[:-1], offs))
+
+    def spelled(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after the other, and each one's number of ids."""
+        ids, lens = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), SPELL_WORDS):
+            some = words.slice(at, SPELL_WORDS).to_numpy(zero_copy_only=False).tolist()
+            e = self.spelling.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(e.ids, "<u4"))
+            lens.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(lens)
+
+    def plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As `encode`, of texts in which no special token is looked for."""
+        words, counts = self.cut(texts)
+        coded = pa.concat_arrays([self.known, words]).dictionary_encode()
+        numbers = np.asarray(coded.indices)[len(self.known) :]
+        ids, lens = self.spelled(coded.dictionary.slice(len(self.known)))
+        self.known, self.ids, self.lens = coded.dictionary, np.concatenate([self.ids, ids]), np.concatenate([self.lens, lens])
+        flat, n = gather(self.ids, self.lens, numbers)
+        if self.full():
+            self.keep(np.flatnonzero(np.bincount(numbers)))
+        if self.full():
+            self.keep(np.zeros(0, np.int64))
+        ends = np.concatenate([[0], np.cumsum(n)])
+        return flat, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, one after the other, and each text's number of ids."""
-        odd = pc.match_substring_regex(texts, r"\s |\s$| $|^ ").to_numpy(zero_copy_only=False)
+        marked = np.zeros(len(texts), bool)
         for content in self.added:
-            odd = odd | pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
-        counts, numbers, chunks = distinct_chunks(pc.if_else(pa.array(odd), "", texts))
-        firsts = np.cumsum(counts) - counts
-        first = np.zeros(len(numbers), bool)
-        first[firsts[counts > 0]] = True
-        # a chunk at a text's start has no blank before it: those are distinct entries of their own
-        lead, lead_number = np.unique(numbers[first], return_inverse=True)
-        numbers = numbers.copy()
-        numbers[first] = len(chunks) + lead_number
-        known = chunks.to_pylist()
-        used = np.zeros(len(chunks), bool)
-        used[numbers[~first]] = True
-        word, part = self.word, self.part
-        ids = [(word(" " + c) if c.isalpha() else part(" " + c)) if u else b"" for c, u in zip(known, used.tolist(), strict=True)]
-        ids += [part(known[i]) for i in lead]
-        flat, n = gather(np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4, numbers)
-        per_text = np.add.reduceat(np.concatenate([n, [0]]), firsts) if len(firsts) else np.zeros(0, np.int64)
-        per_text[counts == 0] = 0
-        if not odd.any():
-            return flat, per_text
-        each = np.split(flat, np.cumsum(per_text)[:-1])
-        for i in np.flatnonzero(odd):
-            each[i] = np.frombuffer(self.whole(texts[int(i)].as_py()), "<u4")
-        return np.concatenate(each), np.array([len(x) for x in each])
+            marked |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if not marked.any():
+            return self.plain(texts)
+        # pieces, and between those of one text its special tokens
+        cut = [self.specials.split(t) if m else [t] for t, m in zip(texts.to_pylist(), marked.tolist(), strict=True)]
+        flat, n = self.plain(pa.array([p for c in cut for p in c[::2]], texts.type))
+        pieces = np.array([len(c[::2]) for c in cut])
+        ends = np.cumsum(pieces)
+        followed = np.ones(len(n), bool)
+        followed[ends - 1] = False
+        flat = np.insert(flat, np.cumsum(n)[followed], [self.added[p] for c in cut for p in c[1::2]])
+        return flat, np.add.reduceat(n + followed, ends - pieces)
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}

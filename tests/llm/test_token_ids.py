@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -72,3 +73,29 @@ def test_another_order(spark, docs_of):
 
     got = sorted(T.token_files(docs_of(["c", "a", "b"]), order=[F.col("text")]).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == [1, 2, 0]
+
+
+def test_words_are_cut_as_the_library_cuts_them():
+    # letters and digits that newer versions of Unicode have, and the library has not, among them
+    parts = [" ", "  ", "\n", " ", "　", "\x1c", "'s", "'ve", "'ll", "'", "'S", "s", "ve", "l", "7", "½", "é", "日本", "x́", "😀", "!", "࢏", "՘", "\U00010940", "\U00012550", "\U0003d000", "<|endoftext|>", "<|end"]
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(parts, k=rng.choice([0, 1, 2, 4, 9]))) for _ in range(4000)]
+    encoder = T.Encoder(T.vocabulary_path())
+    for some in (texts, [t for t in texts if t.isascii()], texts[:1], [""], ["", "", "'s"]):
+        flat, n = encoder.encode(pa.array(["cut off", *some]).slice(1))
+        assert [x.tolist() + [0] for x in np.split(flat, np.cumsum(n)[:-1])] == library(some)
+
+
+def test_a_word_is_encoded_once_while_it_is_remembered(monkeypatch):
+    encoder, asked = T.Encoder(T.vocabulary_path()), []
+    spelled = encoder.spelled
+    monkeypatch.setattr(encoder, "spelled", lambda words: asked.extend(words.to_pylist()) or spelled(words))
+    monkeypatch.setattr(T, "MEMORY", 8)
+    batches = [["one two, two", "two, it's one"], ["three four, one"], ["three five"], ["one"]]
+    got = []
+    for texts in batches:
+        flat, n = encoder.encode(pa.array(texts))
+        got += [x.tolist() + [0] for x in np.split(flat, np.cumsum(n)[:-1])]
+    assert got == library([t for texts in batches for t in texts])
+    # the second batch is beyond the limit: its own four words stay, "one" without a blank is asked again
+    assert asked == ["one", " two", ",", "two", " it", "'s", " one", "three", " four", " five", "one"]
