@@ -8,6 +8,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ END_ID = 0
 MAGIC = b"TOKIDS01"
 #: Distinct words whose ids a worker remembers, and their bytes; beyond either it keeps those of the last texts, if they fit.
 MEMORY, MEMORY_BYTES = 300_000, 16 << 20
-#: Words the library encodes at once.
-SPELL_WORDS = 1 << 14
+#: Words the library encodes at once; one of more bytes than the second goes alone.
+SPELL_WORDS, LONG_WORD = 1 << 14, 1 << 16
 #: Texts encoded at once, in bytes.
 BATCH_BYTES = 3 << 20
 #: Ids read back at once, unless one document has more.
@@ -109,16 +110,19 @@ class Encoder:
         offs = offs - offs[0]
         if not len(data):
             return self.known[:0], np.zeros(len(texts), np.int64)
-        points, at = data, None
+        begins = np.zeros(len(data) + 1, bool)
+        begins[offs] = True
+        # code points, and which bytes begin one
+        points, lead = data, slice(None)
         if data.max() > 0x7F:
-            points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
-            at = np.flatnonzero((data & 0xC0) != 0x80)
+            points, lead = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4"), (data & 0xC0) != 0x80
+            if (begins[:-1] & ~lead).any():
+                raise UnicodeError("a text is no UTF-8")
         size = len(points)
         kind = self.kinds[points]
         # a text's start; the two places after the last stand for one
-        first = np.zeros(size + 2, bool)
-        first[offs if at is None else np.searchsorted(at, offs)] = True
-        first[size:] = True
+        first = np.ones(size + 2, bool)
+        first[:size] = begins[:-1][lead]
         start = first[: size + 1].copy()
         start[1:size] |= kind[1:] != kind[:-1]
         # the last of white space before something else is a word of its own, or leads the next if a blank
@@ -134,19 +138,28 @@ class Encoder:
         start[quote[short | long] + 1] = False
         start[quote[short] + 2] = True
         start[quote[long] + 3] = True
-        starts = np.flatnonzero(start[:size])
-        places = np.append(starts if at is None else at[starts], len(data))
-        words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data)])
+        begins[:-1][lead] = start[:size]
+        begins[-1] = True
+        places = np.flatnonzero(begins)
+        words = pa.Array.from_buffers(pa.large_string(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(data)])
         return words, np.diff(np.searchsorted(places[:-1], offs))
 
     def spelled(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words, one after the other, and each one's number of ids."""
         ids, lens = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
-        for at in range(0, len(words), SPELL_WORDS):
-            some = words.slice(at, SPELL_WORDS).to_numpy(zero_copy_only=False).tolist()
-            e = self.spelling.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(e.ids, "<u4"))
-            lens.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(some)))
+        long = np.flatnonzero(pc.binary_length(words).to_numpy(zero_copy_only=False) > LONG_WORD)
+        cuts = np.unique(np.concatenate([np.arange(0, len(words), SPELL_WORDS), long, long + 1, [len(words)]])).tolist()
+        for lo, hi in pairwise(cuts):
+            some = words[lo:hi].to_numpy(zero_copy_only=False).tolist()
+            if hi - lo == 1:
+                # without places in the text, which take most of the memory
+                found = self.spelling.encode_batch_fast([some], is_pretokenized=True, add_special_tokens=False)[0].ids
+                n = np.array([len(found)])
+            else:
+                e = self.spelling.encode(some, is_pretokenized=True, add_special_tokens=False)
+                found, n = e.ids, np.bincount(np.array(e.word_ids, np.int64), minlength=len(some))
+            ids.append(np.array(found, "<u4"))
+            lens.append(n)
         return np.concatenate(ids), np.concatenate(lens)
 
     def plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -99,3 +99,16 @@ def test_a_word_is_encoded_once_while_it_is_remembered(monkeypatch):
     assert got == library([t for texts in batches for t in texts])
     # the second batch is beyond the limit: its own four words stay, "one" without a blank is asked again
     assert asked == ["one", " two", ",", "two", " it", "'s", " one", "three", " four", " five", "one"]
+
+
+def test_long_words_are_encoded_alone(monkeypatch, prose):
+    monkeypatch.setattr(T, "SPELL_WORDS", 3)
+    monkeypatch.setattr(T, "LONG_WORD", 5)
+    texts = [*(t or "" for t in prose[:20]), *ODD]
+    flat, n = T.Encoder(T.vocabulary_path()).encode(pa.array(texts))
+    assert [x.tolist() + [0] for x in np.split(flat, np.cumsum(n)[:-1])] == library(texts)
+
+
+def test_a_character_cut_in_two_by_texts_raises():
+    with pytest.raises(UnicodeError):
+        T.Encoder(T.vocabulary_path()).encode(pa.array([b"a\xc3", b"\xa9"]).view(pa.string()))
