@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from . import _files
 from ._shared import fresh_dir, fresh_name, released
+from ._text import tidy
 
 #: Bits of a row's number for its place within its partition.
 PLACES = 33
@@ -61,4 +62,4 @@ def noted(docs: DataFrame, notes: DataFrame, run: Callable[[pa.RecordBatch, pa.T
                 raise RuntimeError("the input must give the same rows in the same order when it is read again")
             yield run(b.select([c for c in b.schema.names if c not in (row, check)]), here)
 
-    return numbered(docs, row, check).mapInArrow(attach, schema)
+    return numbered(docs, row, check).mapInArrow(tidy(attach), schema)

@@ -5,12 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Spark's own setting to delete the shuffle files of an action when it has ended.
+#: Spark's own settings to delete the shuffle files of an action when it has ended, and for the bytes of a batch sent to Python.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,14 +38,23 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def released(spark: SparkSession) -> Iterator[None]:
-    """Actions inside give their shuffle files back when they end."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def released(spark: SparkSession) -> AbstractContextManager[None]:
+    """Actions inside give their shuffle files back when they end."""
+    return _setting(spark, CLEANUP, "true")
+
+
+def small_batches(spark: SparkSession, size: int) -> AbstractContextManager[None]:
+    """Actions inside send rows to Python in batches of about ``size`` bytes, or of one row."""
+    return _setting(spark, BATCH, f"{size}b")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from . import _files
 from ._shared import fresh_dir, table
-from ._text import LOWER, prefix_hash, span_hash, text_chunks, words
+from ._text import LOWER, prefix_hash, span_hash, text_chunks, tidy, words
 
 WINDOW = 13
 #: Words of test items in one automaton; more items make more automata, and longer items go in overlapping parts.
@@ -185,7 +185,7 @@ def built(bench: DataFrame, window: int = WINDOW) -> tuple[str, list[str]]:
 
     size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     dealt = bench.select(F.col("item_id").cast("string"), "text").coalesce(max(1, size // (8 * MAX_WORDS)))
-    return folder, sorted(r.name for r in dealt.mapInArrow(run, "name string").collect())
+    return folder, sorted(r.name for r in dealt.mapInArrow(tidy(run), "name string").collect())
 
 
 _LOADED: dict[str, Matcher] = {}
@@ -232,7 +232,7 @@ def scan(docs: DataFrame, bench: DataFrame, finish: Finish, schema: str, window:
                 size = 0
         yield from out()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def _counts(rows: pa.RecordBatch, doc: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._shared import table
-from ._text import CHUNK_BYTES, LOWER, text_chunks
+from ._text import CHUNK_BYTES, LOWER, text_chunks, tidy
 
 #: Byte n-grams are counted in so many buckets, or fewer where a model would have more than `NUMBERS` numbers in all.
 GRAM, BUCKETS, NUMBERS = 3, 1 << 16, 1 << 24
@@ -107,7 +107,7 @@ def learn(docs: DataFrame) -> Model:
                 codes, counts = codes[:0], counts[:0]
         yield out()
 
-    t = found.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    t = found.mapInArrow(tidy(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros(len(langs) * buckets)
     n[t["code"].to_numpy()] = t["n"].to_numpy()
     n = n.reshape(len(langs), buckets)
@@ -207,7 +207,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             lang, score = [s[0]["lang"] if s else UNKNOWN for s in found], [s[0]["share"] if s else 0.0 for s in found]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(found, kind)], names=["doc_id", "lang_pred", "score", "languages"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double, languages array<struct<lang: string, share: double>>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), "doc_id long, lang_pred string, score double, languages array<struct<lang: string, share: double>>")
 
 
 def drop_rejected(docs: DataFrame, model: Model, least: float = KEEP_SHARE) -> DataFrame:
@@ -224,7 +224,7 @@ def drop_rejected(docs: DataFrame, model: Model, least: float = KEEP_SHARE) -> D
             keep = [bool(s) and s[0][1] >= least for s in _judged(rows, data, offs, m)] if m.langs else _lettered(rows)
             yield rows.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

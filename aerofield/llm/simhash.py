@@ -14,7 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ._components import components
 from ._rows import noted, numbered
 from ._shared import table, written
-from ._text import release
+from ._text import tidy
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -48,10 +48,9 @@ def fingerprints(docs: DataFrame, keep: list[str], name: str = "fp") -> DataFram
         for b in batches:
             fps = np.fromiter((fingerprint(x.as_py()) for x in b.column("text")), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(fps.view(np.int64))], names=[*keep, name])
-        release()
 
     kept = docs.select(*keep)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, StructType([*kept.schema.fields, StructField(name, LongType())]))
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(tidy(run), StructType([*kept.schema.fields, StructField(name, LongType())]))
 
 
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -213,9 +212,8 @@ def links(fps: DataFrame, budget: int = MAX_BITS) -> DataFrame:
                         held, edge = np.zeros(0, np.uint64), True
         if len(held):
             yield from whole(at, held, edge, True)
-        release()
 
-    found = written(ordered.mapInArrow(runs, "u long, v long, trie int, node long, low long, alike int, fps binary"), "subtries")
+    found = written(ordered.mapInArrow(tidy(runs), "u long, v long, trie int, node long, low long, alike int, fps binary"), "subtries")
     chunks = found.where("fps is not null")
     one, two = (chunks.select("trie", "node", F.col("low").alias(f"{k}_low"), F.col("alike").alias(f"{k}_alike")) for k in "ab")
     near = f"bit_count(shiftrightunsigned(a_low ^ b_low, 64 - least(a_alike, b_alike))) <= {budget} and (a_low ^ (-9223372036854775807L - 1L)) <= (b_low ^ (-9223372036854775807L - 1L))"
@@ -234,9 +232,8 @@ def links(fps: DataFrame, budget: int = MAX_BITS) -> DataFrame:
                 u, v = forest((x[i], y[j]) for i, j in trie_links(x, one, y, two, np.array([int(same)]), width[trie], budget))
                 if len(u):
                     yield pa.RecordBatch.from_arrays([pa.array(_turned(w, (64 - starts[trie]) % 64).view(np.int64)) for w in (u, v)], names=["u", "v"])
-        release()
 
-    return found.where("u is not null").select("u", "v").unionByName(pairs.select("trie", "a", "b").mapInArrow(met, "u long, v long"))
+    return found.where("u is not null").select("u", "v").unionByName(pairs.select("trie", "a", "b").mapInArrow(tidy(met), "u long, v long"))
 
 
 def classes(distinct: DataFrame, budget: int = MAX_BITS) -> DataFrame:

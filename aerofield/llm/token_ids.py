@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._pieces import gather
-from ._shared import fresh_dir, table
-from ._text import release
+from ._shared import fresh_dir, released, small_batches, table
+from ._text import release, tidy
 
 #: Documents that train the dictionary: those with the smallest hash of their id, and their leading ids.
 SAMPLE_DOCS, SAMPLE_IDS = 1024, 1024
@@ -31,8 +31,8 @@ MAGIC = b"TOKIDS01"
 MEMORY, MEMORY_BYTES = 300_000, 16 << 20
 #: Words the library encodes at once; one of more bytes than the second goes alone.
 SPELL_WORDS, LONG_WORD = 1 << 14, 1 << 16
-#: Texts encoded at once, in bytes.
-BATCH_BYTES = 3 << 20
+#: Texts encoded at once, in bytes, and of these the texts cut into words at once, which takes many times their size.
+BATCH_BYTES, CUT_BYTES = 3 << 20, 1 << 19
 #: Ids read back at once, unless one document has more.
 READ_IDS = 1 << 20
 #: Kinds of characters the pre-tokenizer tells apart.
@@ -64,6 +64,16 @@ def kinds(words: Callable[[str], list]) -> np.ndarray:
     return out
 
 
+def slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of neighbouring texts of at most ``limit`` bytes; a longer one goes alone."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield at, to
+        at = to
+
+
 class Encoder:
     """Encodes whole texts with a byte-level BPE of the tokenizers library, each distinct word once.
 
@@ -164,18 +174,26 @@ class Encoder:
 
     def plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """As `encode`, of texts in which no special token is looked for."""
-        words, counts = self.cut(texts)
-        coded = pa.concat_arrays([self.known, words]).dictionary_encode()
-        numbers = np.asarray(coded.indices)[len(self.known) :]
-        ids, lens = self.spelled(coded.dictionary.slice(len(self.known)))
-        self.known, self.ids, self.lens = coded.dictionary, np.concatenate([self.ids, ids]), np.concatenate([self.lens, lens])
-        flat, n = gather(self.ids, self.lens, numbers)
+        parts = [self.cut(texts.slice(at, to - at)) for at, to in slices(texts, CUT_BYTES)]
+        # empty chunks are left out, as Arrow does
+        coded = pa.chunked_array([x for x in (self.known, *(words for words, _ in parts)) if len(x)], self.known.type).dictionary_encode().chunks
+        known = coded[-1].dictionary if coded else self.known
+        ids, lens = self.spelled(known.slice(len(self.known)))
+        self.known, self.ids, self.lens = known, np.concatenate([self.ids, ids]), np.concatenate([self.lens, lens])
+        flat, sums, met = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)], np.zeros(len(known), bool)
+        found = iter(coded[len(coded) - sum(len(words) > 0 for words, _ in parts) :])
+        for words, counts in parts:
+            numbers = np.asarray(next(found).indices) if len(words) else np.zeros(0, np.int32)
+            met[numbers] = True
+            some, n = gather(self.ids, self.lens, numbers)
+            ends = np.concatenate([[0], np.cumsum(n)])
+            flat.append(some)
+            sums.append(np.diff(ends[np.concatenate([[0], np.cumsum(counts)])]))
         if self.full():
-            self.keep(np.flatnonzero(np.bincount(numbers)))
+            self.keep(np.flatnonzero(met))
         if self.full():
             self.keep(np.zeros(0, np.int64))
-        ends = np.concatenate([[0], np.cumsum(n)])
-        return flat, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
+        return np.concatenate(flat), np.concatenate(sums)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, one after the other, and each text's number of ids."""
@@ -209,14 +227,11 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, special_as_text: bool
     """(doc ids, ids with end ids, their numbers by document) of batches of (doc_id, text)."""
     for batch in batches:
         texts = pc.fill_null(batch.column(1), "")
-        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-        at = 0
-        while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_BYTES, "right")))
+        for at, to in slices(texts, BATCH_BYTES):
             flat, n = encoder(path, special_as_text).encode(texts.slice(at, to - at))
             yield batch.column(0).slice(at, to - at), np.insert(flat, np.cumsum(n), END_ID).astype("<u4", copy=False), n + 1
-            at = to
-    release()
+            del flat, n
+            release()
 
 
 def packed(ids: np.ndarray) -> bytes:
@@ -293,7 +308,8 @@ def write_files(docs: DataFrame, folder: str, path: str, order: list[Column] | N
         else:
             fs.delete_file(f"{at}/{name}")
 
-    found = ranged.mapInArrow(run, "name string, docs long, ids long").collect()
+    with released(spark), small_batches(spark, BATCH_BYTES):
+        found = ranged.mapInArrow(tidy(run), "name string, docs long, ids long").collect()
     return sorted(tuple(r) for r in found)
 
 
@@ -340,7 +356,7 @@ def read_files(spark: SparkSession, folder: str, files: list[tuple[str, int, int
                     yield pa.RecordBatch.from_arrays([pa.array(rows["doc_id"], mask=~rows["named"]), pa.array(at[lo:hi]), pa.array(rows["ids"]), pa.array(each, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
                     lo = hi
 
-    return manifest.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return manifest.mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def token_files(docs: DataFrame, path: str | None = None, order: list[Column] | None = None, special_as_text: bool = False) -> DataFrame:

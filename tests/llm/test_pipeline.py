@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
@@ -34,3 +35,16 @@ def test_stages_keep_the_columns(spark):
     assert [n for n, _ in C.STAGES] == ["language", "near_duplicates", "decontamination", "mixing", "token_files"]
     for _, f in C.STAGES[:-1]:
         assert f(spark, docs, SF).columns == docs.columns
+
+
+def test_stages_send_small_batches_to_python(spark):
+    docs = spark.createDataFrame([(i, "word " * 8000, "en", "a", 40000) for i in range(400)], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    for _, f in C.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        f(spark, docs, SF)
+        assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < 5 << 20

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -112,3 +113,32 @@ def test_long_words_are_encoded_alone(monkeypatch, prose):
 def test_a_character_cut_in_two_by_texts_raises():
     with pytest.raises(UnicodeError):
         T.Encoder(T.vocabulary_path()).encode(pa.array([b"a\xc3", b"\xa9"]).view(pa.string()))
+
+
+def test_batches_of_texts_take_bounded_memory():
+    """What cutting and placing takes does not grow with the batch."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(500)]
+    texts = [" ".join(rng.choice(words) for _ in range(400)) for _ in range(1500)]
+    e = T.Encoder(T.vocabulary_path())
+    want = e.tokenizer.encode_batch(texts[:20], add_special_tokens=False)
+    few = pa.array(texts)
+    e.encode(few[:300])
+    tracemalloc.start()
+    flat, n = e.encode(few)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [flat[b - k : b].tolist() for b, k in zip(np.cumsum(n)[:20], n, strict=False)] == [x.ids for x in want]
+    assert peak < 12 * few.nbytes
+
+
+def test_empty_texts_between_slices(monkeypatch):
+    monkeypatch.setattr(T, "CUT_BYTES", 8)
+    e = T.Encoder(T.vocabulary_path())
+    texts = ["", "", "a long text that is a slice of its own", "", "b", "", "", "c d", "", "another one of these long ones", ""]
+    for _ in range(2):
+        flat, n = e.encode(pa.array(texts))
+        want = [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert n.tolist() == [len(x) for x in want] and flat.tolist() == [i for x in want for i in x]
+    flat, n = T.Encoder(T.vocabulary_path()).encode(pa.array(["", ""]))
+    assert n.tolist() == [0, 0] and not len(flat)
