@@ -2,7 +2,7 @@
 
 A string of `LENGTH` bytes repeats if two suffixes share their first `LENGTH` bytes.  Not every
 suffix is sorted.  Each window of `LENGTH` bytes has an anchor: the place inside it whose
-`GRAM` bytes hash least, the first of equals.  Equal windows have equal anchors at equal
+`GRAM` bytes hash least (by the upper 48 bits), the first of equals.  Equal windows have equal anchors at equal
 offsets, and consecutive windows mostly share theirs, so windows are grouped in segments by
 anchor.  As in sorting with distributed duplicate detection, fingerprints first
 tell what can't repeat: anchors that occur once, then segments, then single windows of
@@ -28,39 +28,53 @@ from pyspark.sql import functions as F
 from . import _exchange, _files
 from ._exchange import Answers
 from ._shared import fresh_dir, table, written
-from ._text import mix, prefix_hash, span_hash, text_chunks
+from ._text import _R_INV, _powers, mix, prefix_hash, span_hash, text_chunks
 
 LENGTH, GRAM = 200, 100
 BLOCK_BYTES = 3 << 20
+#: Bits of an anchor's key that tell its place in a strip; the hash has the others.
+PLACE_BITS = 16
 #: Offsets fit one byte.
 MOST = 255 + GRAM
 #: What a message about suffixes holds, in `ask_suffixes`' order.
 _ITEM = (np.uint8, np.uint8, np.uint8, np.uint16, np.uint8, np.uint32, np.uint16, np.uint8)
 
 
+def anchors_of(h: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """The anchor of the window at each place, in strips that a processor's cache holds."""
+    down, width = _powers("down", _R_INV, len(h)), length - gram + 1
+    m = len(h) - length
+    out = np.empty(m, np.int64)
+    most = (1 << PLACE_BITS) - width + 1
+    place = np.arange(1 << PLACE_BITS, dtype=np.uint64)
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    for at in range(0, m, most):
+        to = min(at + most, m)
+        n = to - at + width - 1
+        best = mix((h[at + gram : at + gram + n] - h[at : at + n]) * down[at : at + n] + np.uint64(gram))
+        # keys: the hash's upper bits, then the place, so that the least is the first of equals
+        best &= ~low
+        best |= place[:n]
+        span = 1
+        while span * 2 <= width:
+            best = np.minimum(best[:-span], best[span:])
+            span *= 2
+        out[at:to] = np.minimum(best[: to - at], best[width - span : width - span + to - at]) & low
+        out[at:to] += at
+    return out
+
+
 def segments(data: np.ndarray, offs: np.ndarray, h: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, last window, anchor) of each segment; windows stay inside documents."""
-    n, width = len(data) - gram + 1, length - gram + 1
-    m = n - width + 1
-    if m <= 0:
+    if len(data) < length:
         return (np.zeros(0, np.int64),) * 3
-    grams = span_hash(h, np.arange(n), np.arange(gram, n + gram))
-    best, span = np.arange(n, dtype=np.int32), 1
-    while span * 2 <= width:
-        a, b = best[:-span], best[span:]
-        best = np.where(grams[b] < grams[a], b, a)
-        span *= 2
-    a, b = best[:m], best[width - span : width - span + m]
-    anchor = np.where(grams[b] < grams[a], b, a)
-    doc = np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs))
-    windows = np.flatnonzero(doc[:m] == doc[length - 1 :])
-    if not len(windows):
-        return (np.zeros(0, np.int64),) * 3
-    anchor = anchor[windows].astype(np.int64)
-    new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (windows[1:] != windows[:-1] + 1)])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(windows)) - 1
-    return windows[first], windows[last], anchor[first]
+    anchor = anchors_of(h, length, gram)
+    starts = offs[:-1][np.diff(offs) >= length]
+    first = np.union1d(starts, np.flatnonzero(anchor[1:] != anchor[:-1]) + 1)
+    last = np.minimum(np.append(first[1:], len(data)) - 1, offs[np.searchsorted(offs, first, "right")] - length)
+    inside = first <= last
+    first, last = first[inside], last[inside]
+    return first, last, anchor[first]
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -88,13 +102,16 @@ class Suspects:
     @staticmethod
     def packed(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, anchor: np.ndarray, length: int) -> bytes:
         """Keep the spans that the segments cover; shift says how far each span was moved."""
-        cover = np.zeros(len(data) + 1, np.int32)
-        np.add.at(cover, lo, 1)
-        np.add.at(cover, hi + length, -1)
-        keep = np.cumsum(cover[:-1]) > 0
-        new = np.cumsum(keep) - keep  # place after packing
-        starts = np.flatnonzero(keep & ~np.concatenate([[False], keep[:-1]]))
-        return _files.pack(data[keep], new[starts], starts - new[starts], new[lo], new[lo] + (hi - lo), new[lo] + (anchor - lo))
+        # segments come in order, and so do their ends
+        new = np.ones(len(lo), bool)
+        new[1:] = lo[1:] > hi[:-1] + length
+        first = np.flatnonzero(new)
+        starts, ends = lo[first], hi[np.append(first[1:], len(lo)) - 1 if len(lo) else first] + length
+        place = np.cumsum(ends - starts) - (ends - starts)  # after packing
+        shift = starts - place
+        moved = lo - shift[np.cumsum(new) - 1]
+        kept = np.concatenate([data[:0], *(data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True))])
+        return _files.pack(kept, place, shift, moved, moved + (hi - lo), moved + (anchor - lo))
 
     def unmoved(self, at: np.ndarray) -> np.ndarray:
         return at + self.shift[np.searchsorted(self.place, at, "right") - 1]
